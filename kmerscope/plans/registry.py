@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import similarity_queries
+from . import io_queries, runlog_queries, similarity_queries
+
+_MODULES = (similarity_queries, io_queries, runlog_queries)
 
 
 def queries() -> dict:
     out = {}
-    out.update(similarity_queries.QUERIES)
+    for m in _MODULES:
+        out.update(m.QUERIES)
     return out
 
 
 def oracle_sql() -> dict:
     out = {}
-    out.update(similarity_queries.ORACLES)
+    for m in _MODULES:
+        out.update(m.ORACLES)
     return out

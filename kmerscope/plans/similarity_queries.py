@@ -90,7 +90,8 @@ def q_hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     sig = signatures(hashed_features(doc_tokens(spark, sf_dir), K, NUM_FEATURES, BUCKET), NUM_TABLES)
-    return sig.select(F.col("id").alias("doc_id"), F.posexplode("signature").alias("hash_index", "min_hash"))
+    return sig.select(F.col("id").alias("doc_id"), F.inline(F.transform(
+        "signature", lambda h, i: F.struct(i.alias("hash_index"), h.alias("min_hash")))))
 
 
 def q_minhash_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,23 +202,32 @@ FROM ({_DOCS}) WHERE len >= 3"""
 _FEATS_N = f"SELECT *, len(s) AS n FROM ({_FEATS})"
 
 
+def _inverted_sql(sets: str, cond: str, score: str) -> str:
+    """Pairs sharing at least one element, with their intersection size, by an inverted index."""
+    return f"""WITH k AS ({sets}), e AS (SELECT * EXCLUDE (s), unnest(s) AS x FROM k),
+i AS (
+  SELECT a.dataset AS ad, a.id AS aid, a.len AS al, a.n AS an, b.dataset AS bd, b.id AS bid, b.len AS bl,
+         b.n AS bn, count(*) AS inter
+  FROM e a JOIN e b ON a.x = b.x AND a.dataset < b.dataset{cond}
+  GROUP BY ALL)
+SELECT ad AS left_dataset, aid AS left_id, al AS left_length, bd AS right_dataset, bid AS right_id,
+       bl AS right_length, inter / (an + bn - inter) AS {score}
+FROM i"""
+
+
+def _size_cond(t: float) -> str:
+    return f" AND least(a.n, b.n) >= {t} * greatest(a.n, b.n) - 1e-9"
+
+
 def _threshold_sql(t: float, len_filter: bool = False) -> str:
-    extra = f" AND {_LEN_OK}" if len_filter else ""
-    return f"""WITH k AS ({_SETS_N})
-SELECT * FROM (
-  SELECT {_PAIR_SELECT}, {_JACCARD} AS jaccard
-  FROM k a JOIN k b ON a.dataset < b.dataset AND least(a.n, b.n) >= {t} * greatest(a.n, b.n) - 1e-9{extra}
-) WHERE jaccard > {t}"""
+    extra = _size_cond(t) + (f" AND {_LEN_OK}" if len_filter else "")
+    return f"SELECT * FROM ({_inverted_sql(_SETS_N, extra, 'jaccard')}) WHERE jaccard > {t}"
 
 
 def _lsh_sql(len_filter: bool = False) -> str:
-    extra = f" AND {_LEN_OK}" if len_filter else ""
-    return f"""WITH k AS ({_FEATS_N})
-SELECT * FROM (
-  SELECT {_PAIR_SELECT}, {_JACCARD} AS minhash_similarity
-  FROM k a JOIN k b ON a.dataset < b.dataset AND a.bucket = b.bucket
-    AND least(a.n, b.n) >= {THRESHOLD} * greatest(a.n, b.n) - 1e-9{extra}
-) WHERE minhash_similarity > {THRESHOLD}"""
+    extra = " AND a.bucket = b.bucket" + _size_cond(THRESHOLD) + (f" AND {_LEN_OK}" if len_filter else "")
+    inner = _inverted_sql(_FEATS_N, extra, "minhash_similarity")
+    return f"SELECT * FROM ({inner}) WHERE minhash_similarity > {THRESHOLD}"
 
 
 def _minhash_sig_sql() -> str:
@@ -250,9 +260,8 @@ SELECT {_PAIR_SELECT}, {_JACCARD} AS jaccard
 FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK}""",
     "jaccard_threshold": _threshold_sql(THRESHOLD),
     "jaccard_threshold_len_filtered": _threshold_sql(THRESHOLD, True),
-    "top10_pairs": f"""WITH k AS ({_SETS_N})
-SELECT left_dataset, left_id, right_dataset, right_id, jaccard FROM (
-  SELECT {_PAIR_SELECT}, {_JACCARD} AS jaccard FROM k a JOIN k b ON a.dataset < b.dataset)
+    "top10_pairs": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
+FROM ({_inverted_sql(_SETS_N, "", "jaccard")})
 ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
     "best_matches": f"""WITH p AS ({_threshold_sql(BEST_THRESHOLD)}),
 both_dirs AS (
