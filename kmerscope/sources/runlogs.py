@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 def read_log_files(spark: SparkSession, directory: str, glob: str = "*.out",
                    recursive: bool = False) -> DataFrame:
     """Files under ``directory`` whose name matches ``glob``: ``path, content``."""
-    r = spark.read.option("wholetext", True).option("pathGlobFilter", glob)
+    r = spark.read.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", True)
-    df = r.text(directory)
+    df = r.text(directory, wholetext=True)  # the keyword: text() would reset an .option()
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 

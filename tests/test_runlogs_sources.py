@@ -89,3 +89,16 @@ def test_dataset_folders_and_latest_batch(spark):
     assert got == [("fish.adam", "f1"), ("mouse.adam", "m1")]
     b = spark.createDataFrame([("20240101_000000", 1), ("20240102_000000", 2)], "batch_ts string, v int")
     assert [r.v for r in latest_batch(b).collect()] == [2]
+
+
+def test_run_timing_stream(spark):
+    from kmerscope.streaming.runlog_stream import start_run_timing
+
+    d = tempfile.mkdtemp()
+    _write(d, "jaccard_benchmark_2cores.out", "real\t0m10.000s\nuser\t0m15.000s\nsys\t0m1.000s\n")
+    _write(d, "minhash_benchmark_2cores.out", "real\t0m20.000s\nuser\t0m30.000s\n")
+    out = os.path.join(tempfile.mkdtemp(), "timing")
+    q = start_run_timing(spark, d, out, checkpoint=os.path.join(tempfile.mkdtemp(), "ckpt"))
+    q.awaitTermination(120)
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.method, r.reject_reason is None) for r in rows) == [("jaccard", True), ("minhash", False)]
