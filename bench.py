@@ -41,6 +41,7 @@ def main() -> None:
         t0 = time.time()
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
         spark.catalog.clearCache()
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

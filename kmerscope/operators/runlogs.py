@@ -185,3 +185,34 @@ def timed_flags(timing: DataFrame, failed: DataFrame) -> DataFrame:
     f = failed.select("method", "cores", F.lit(True).alias("_f"))
     return (timing.join(f, ["method", "cores"], "left")
             .withColumn("failed", F.coalesce(F.col("_f"), F.lit(False))).drop("_f"))
+
+
+# The heading printed before the top-10 table, and the columns
+# assumed when the table has no header line.
+TOP10_HEADING = "Top 10 most similar protein pairs:"
+TOP10_DEFAULT_HEADER = ["mouse_id", "fish_id", "jaccard"]
+
+
+def scraped_top10(files: DataFrame) -> DataFrame:
+    """The rows of the ASCII table printed after the top-10 heading of each run output.
+
+    ``filename, row_no, left_id, right_id, score``: the table's three cells,
+    ids as text and the score as double; border lines (``+---``) and the
+    header line are skipped, ``row_no`` counts data rows from 1.
+    """
+    block = F.regexp_extract(F.col("content"), "(?s)" + TOP10_HEADING + r"\n([+\-\w\s.|:]+)", 1)
+    lines = files.select(file_name(F.col("path")).alias("filename"),
+                         F.posexplode(F.split(block, "\n")).alias("pos", "line"))
+    rows = lines.where(~F.col("line").startswith("+") & (F.trim("line") != ""))
+    cells = F.split(F.col("line"), r"\|")
+    rows = rows.select("filename", "pos", F.transform(F.slice(cells, 2, F.size(cells) - 2), lambda c: F.trim(c))
+                       .alias("c"))
+    first = rows.groupBy("filename").agg(F.min("pos").alias("_first"))
+    rows = rows.join(first, "filename")
+    is_header = (F.col("pos") == F.col("_first")) & F.exists("c", lambda x: ~x.rlike(r"^[-+0-9.eE]*$")
+                                                            & x.rlike(r"[A-Za-z_]{2,}"))
+    data = rows.where(~is_header)
+    from pyspark.sql import Window
+    w = Window.partitionBy("filename").orderBy("pos")
+    return data.select("filename", F.row_number().over(w).alias("row_no"), F.col("c")[0].alias("left_id"),
+                       F.col("c")[1].alias("right_id"), F.col("c")[2].cast("double").alias("score"))

@@ -60,19 +60,40 @@ def ordered_tokens(items: DataFrame, vocab: DataFrame | None = None,
                                F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
 
 
-def prefix_length(n, t: float):
-    """``n - ceil(t * n) + 1`` (rounded so floating error can only lengthen it)."""
-    return n - F.ceil(n * F.lit(t) - F.lit(EPS)) + 1
+def min_overlap(n, t: float):
+    """``ceil(t * n)``: the least overlap a set of size n needs with any partner at ``J >= t``.
 
+    Rounded so that floating error can only make it smaller (safe).
+    """
+    return F.ceil(n * F.lit(t) - F.lit(EPS))
+
+
+def prefix_length(n, t: float, m: int = 1):
+    """``n - ceil(t * n) + m``: the prefix that holds the first m shared tokens of any partner."""
+    return F.least(n, n - min_overlap(n, t) + m)
 
-def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = None,
+
+def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = None, m: int = 3,
                     cell_rows: int = DEFAULT_CELL_ROWS, max_grid: int = DEFAULT_MAX_GRID) -> DataFrame:
-    """Distinct ``(a__g, a_id, b__g, b_id)`` with ``a._g < b._g`` sharing a prefix token."""
+    """Distinct ``(a__g, a_id, b__g, b_id)`` with ``a._g < b._g`` sharing enough prefix tokens.
+
+    Extended prefix: if ``|A n B| = c >= alpha_A = ceil(t|A|)``, the first m
+    shared tokens (in the global order) lie within the first
+    ``|A| - alpha_A + m`` tokens of A, and likewise for B.  So with prefixes
+    m - 1 tokens longer a pair must share ``min(m, max(alpha_A, alpha_B))``
+    prefix tokens: barely more rows are joined, far fewer pairs survive.
+
+    Positional filter (PPJoin): the first shared prefix token sits at
+    positions ``(i, j)``; no earlier token of either set is shared (it would
+    come first in the other prefix too), so ``|A n B| <= min(|A| - i, |B| - j)``.
+    Pairs whose bound is below ``t / (1 + t) * (|A| + |B|)`` cannot reach ``J >= t``
+    and are dropped before verification.
+    """
     n = F.size("ord")
     pre = (ordered.where(n > 0)
            .select("_g", "id", "length", n.alias("n"),
-                   F.explode(F.slice("ord", 1, prefix_length(n, t).cast("int"))).alias("p"))
-           .select("_g", "id", "length", "n", F.col("p.tok").alias("_key"),
+                   F.posexplode(F.slice("ord", 1, prefix_length(n, t, m).cast("int"))).alias("pos", "p"))
+           .select("_g", "id", "length", "n", "pos", F.col("p.tok").alias("_key"),
                    grid_size(F.col("p.df"), cell_rows, max_grid).alias("_grid")))
     a = prefixed(pre, "a_", ["_key", "_grid"])
     b = prefixed(pre, "b_", ["_key", "_grid"])
@@ -82,22 +103,36 @@ def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = N
     cond = (F.col("a__g") < F.col("b__g")) & (small >= big * F.lit(t) - F.lit(EPS))
     if max_len_diff is not None:
         cond = cond & length_ratio_ok(F.col("a_length"), F.col("b_length"), max_len_diff)
-    return j.where(cond).select("a__g", "a_id", "b__g", "b_id").distinct()
+    pairs = (j.where(cond).groupBy("a__g", "a_id", "b__g", "b_id")
+             .agg(F.min("a_pos").alias("i"), F.min("b_pos").alias("j"), F.first("a_n").alias("na"),
+                  F.first("b_n").alias("nb"), F.count(F.lit(1)).alias("shared")))
+    bound = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+    need = (F.col("na") + F.col("nb")) * F.lit(t / (1 + t)) - F.lit(EPS)
+    enough = F.col("shared") >= F.least(F.lit(m), F.greatest(min_overlap(F.col("na"), t), min_overlap(F.col("nb"), t)))
+    return pairs.where((bound >= need) & enough).select("a__g", "a_id", "b__g", "b_id")
+
+
+def prepare(items_with_tokens: DataFrame) -> DataFrame:
+    """Tokens ordered rarest first per item, persisted: reused by every threshold run over the same items.
+
+    A lost cached block is recomputed from lineage (scan + tokenize + aggregate).
+    """
+    tok = items_with_tokens.select("_g", "dataset", "id", "length", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
+    return ordered_tokens(tok).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def threshold_join(items_with_tokens: DataFrame, t: float = 0.9, strict: bool = True,
-                   max_len_diff: float | None = None, **grid) -> DataFrame:
+                   max_len_diff: float | None = None, ordered: DataFrame | None = None, **grid) -> DataFrame:
     """All pairs (a._g < b._g) with Jaccard > t (``strict``) or >= t, exactly.
 
     Output: ``left_dataset, left_id, left_length, right_dataset, right_id,
-    right_length, jaccard``.
+    right_length, jaccard``.  ``ordered`` may be passed from ``prepare`` to
+    reuse it across thresholds.
     """
     if not 0 < t <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    # Cached: the vocabulary size check and the join both read the k-mer sets.
-    # A lost cached block is recomputed from lineage (scan + tokenize).
-    tok = items_with_tokens.select("_g", "dataset", "id", "length", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
-    ordered = ordered_tokens(tok)
+    if ordered is None:
+        ordered = prepare(items_with_tokens)
     cand = candidate_pairs(ordered, t, max_len_diff, **grid)
     full = ordered.select("_g", "dataset", "id", "length",
                           F.transform("ord", lambda s: s["tok"]).alias("tokens"))

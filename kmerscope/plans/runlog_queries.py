@@ -83,6 +83,30 @@ def render_batch_lines(events: DataFrame) -> DataFrame:
         "path", (F.col("event_id") * 16 + F.col("j")).alias("line_no"), "line")
 
 
+def render_top10_output(top: DataFrame, path: str = "jaccard_benchmark_8cores.out") -> DataFrame:
+    """One run output ``(path, content)`` holding ``top`` (at most 10 rows) printed as ``show()`` does."""
+    cols = ["left_id", "right_id", "jaccard"]
+    t = top.select(*[F.col(c).cast("string").alias(c) for c in cols], F.col("rank"))
+    widths = t.agg(*[F.greatest(F.max(F.length(c)), F.lit(len(c))).alias(c) for c in cols]).first()
+    border = "+" + "+".join("-" * widths[c] for c in cols) + "+"
+    header = "|" + "|".join(c.rjust(widths[c]) for c in cols) + "|"
+    row = F.concat(F.lit("|"), F.concat_ws("|", *[F.lpad(c, widths[c], " ") for c in cols]), F.lit("|"))
+    body = t.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", row.alias("r")))),
+                                          lambda x: x["r"]), "\n").alias("rows"))
+    content = F.concat(F.lit(R.TOP10_HEADING + "\n" + border + "\n" + header + "\n" + border + "\n"),
+                       F.col("rows"), F.lit("\n" + border + "\n\n[Stage 9:>   (0 + 1) / 1]\nreal\t0m1.000s\n"))
+    return body.select(F.lit(path).alias("path"), content.alias("content"))
+
+
+def _scraped_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.topk import pair_order
+    from .similarity_queries import q_top10_pairs
+    from pyspark.sql import Window
+    top = q_top10_pairs(spark, sf_dir)
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy(*pair_order())))
+    return R.scraped_top10(render_top10_output(top))
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
@@ -106,6 +130,7 @@ QUERIES = {
     "run_config_mb": lambda spark, sf: R.run_config_mb(_lines(spark, sf)),
     "failed_runs": lambda spark, sf: R.failed_runs(_lines(spark, sf)),
     "timed_flags": lambda spark, sf: R.timed_flags(_timing(spark, sf), R.failed_runs(_lines(spark, sf))),
+    "scraped_top10": _scraped_top10,
 }
 
 
@@ -137,6 +162,14 @@ FROM m WHERE cur IS NOT NULL"""
 
 _FAILED = f"SELECT DISTINCT method, cores FROM ({_FACTS}) WHERE failed"
 
+def _scraped_sql() -> str:
+    from .similarity_queries import ORACLES as SIM
+    return f"""SELECT 'jaccard_benchmark_8cores.out' AS filename,
+  row_number() OVER (ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset) AS row_no,
+  left_id::VARCHAR AS left_id, right_id::VARCHAR AS right_id, jaccard AS score
+FROM ({SIM['top10_pairs']})"""
+
+
 ORACLES = {
     "run_timing": _TIMING,
     "run_timing_rejects": f"""SELECT method || '_benchmark_' || cores || 'cores.out' AS filename,
@@ -158,6 +191,7 @@ FROM t WHERE a IS NOT NULL AND b IS NOT NULL AND a > 0 AND b > 0""",
   arg_max({_MEM}, event_id) AS executor_memory_mb, arg_max({_MEM} // 2, event_id) AS max_result_size_mb
 FROM ({_FACTS}) GROUP BY user_id, cores""",
     "failed_runs": _FAILED,
+    "scraped_top10": _scraped_sql(),
     "timed_flags": f"""SELECT t.*, f.method IS NOT NULL AS failed
 FROM ({_TIMING}) t LEFT JOIN ({_FAILED}) f ON t.method = f.method AND t.cores = f.cores""",
 }
