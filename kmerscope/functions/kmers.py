@@ -86,12 +86,3 @@ def with_kmers(df: DataFrame, seq_col: str, out_col: str = "kmers", k: int = 3,
         expr = F.array_distinct(expr)
     return df.withColumn(out_col, expr).drop(tmp)
 
-
-def code_to_string(code, k: int = 3) -> Column:
-    """Inverse of the packing, for display (uses ``chr`` only for code points < 256)."""
-    c = _col(code)
-    parts = []
-    for j in range(k):
-        cp = F.shiftright(c, CODE_BITS * (k - 1 - j)).bitwiseAND(F.lit((1 << CODE_BITS) - 1))
-        parts.append(F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32BE"))
-    return F.concat(*parts)

@@ -14,7 +14,6 @@ from ..functions.arrays import explode_values
 from ..functions.hashing import MERSENNE_31, MINHASH_PRIME, POLY_BASE, minhash_coefficients
 from ..functions.kmers import with_kmers
 from ..functions.similarity import length_bucket, similarity_band
-from ..operators import collection as C
 from ..operators.lsh import hashed_features, hashed_tf, minhash_join, minhash_ml_join, signatures
 from ..operators.pairs import length_band_pairs, length_filtered_jaccard
 from ..operators.threshold import threshold_join
