@@ -83,11 +83,13 @@ def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = N
     m - 1 tokens longer a pair must share ``min(m, max(alpha_A, alpha_B))``
     prefix tokens: barely more rows are joined, far fewer pairs survive.
 
-    Positional filter (PPJoin): the first shared prefix token sits at
+    Positional filters (PPJoin): the first shared prefix token sits at
     positions ``(i, j)``; no earlier token of either set is shared (it would
     come first in the other prefix too), so ``|A n B| <= min(|A| - i, |B| - j)``.
-    Pairs whose bound is below ``t / (1 + t) * (|A| + |B|)`` cannot reach ``J >= t``
-    and are dropped before verification.
+    Likewise every shared token not counted in the prefixes comes after the
+    last counted one (at ``(i', j')``), so ``|A n B| <= shared + min(|A| - i' - 1,
+    |B| - j' - 1)``.  Pairs whose bound is below ``t / (1 + t) * (|A| + |B|)``
+    cannot reach ``J >= t`` and are dropped before verification.
     """
     n = F.size("ord")
     pre = (ordered.where(n > 0)
@@ -104,9 +106,11 @@ def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = N
     if max_len_diff is not None:
         cond = cond & length_ratio_ok(F.col("a_length"), F.col("b_length"), max_len_diff)
     pairs = (j.where(cond).groupBy("a__g", "a_id", "b__g", "b_id")
-             .agg(F.min("a_pos").alias("i"), F.min("b_pos").alias("j"), F.first("a_n").alias("na"),
-                  F.first("b_n").alias("nb"), F.count(F.lit(1)).alias("shared")))
-    bound = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+             .agg(F.min("a_pos").alias("i"), F.min("b_pos").alias("j"), F.max("a_pos").alias("il"),
+                  F.max("b_pos").alias("jl"), F.first("a_n").alias("na"), F.first("b_n").alias("nb"),
+                  F.count(F.lit(1)).alias("shared")))
+    bound = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"),
+                    F.col("shared") + F.least(F.col("na") - F.col("il") - 1, F.col("nb") - F.col("jl") - 1))
     need = (F.col("na") + F.col("nb")) * F.lit(t / (1 + t)) - F.lit(EPS)
     enough = F.col("shared") >= F.least(F.lit(m), F.greatest(min_overlap(F.col("na"), t), min_overlap(F.col("nb"), t)))
     return pairs.where((bound >= need) & enough).select("a__g", "a_id", "b__g", "b_id")
