@@ -76,9 +76,9 @@ WHERE rn <= {PER_DATASET_N}"""
 ORACLES = {
     "sample_exact_n": f"SELECT * FROM documents ORDER BY {_KEY}, doc_id LIMIT {SAMPLE_N}",
     "sample_per_dataset": _PER,
-    "fasta_roundtrip": f"""SELECT doc_id::VARCHAR AS name, source AS description, length(s) AS length, md5(s) AS seq_md5
+    "fasta_roundtrip": f"""SELECT doc_id::VARCHAR AS name, source AS description, length(s)::INTEGER AS length, md5(s) AS seq_md5
 FROM (SELECT doc_id, source, regexp_replace(text, '{FASTA_DROP}', '', 'g') AS s FROM documents)""",
-    "dataset_discovery": """SELECT 'source=' || source AS dataset, count(*) AS n_rows, sum(length(text)) AS total_length
+    "dataset_discovery": """SELECT 'source=' || source AS dataset, count(*) AS n_rows, sum(length(text))::BIGINT AS total_length
 FROM documents GROUP BY source""",
     "latest_batch": f"SELECT '{BATCHES[1]}' AS batch_ts, source AS dataset, doc_id FROM ({_PER})",
 }

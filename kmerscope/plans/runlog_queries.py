@@ -165,7 +165,7 @@ _FAILED = f"SELECT DISTINCT method, cores FROM ({_FACTS}) WHERE failed"
 def _scraped_sql() -> str:
     from .similarity_queries import ORACLES as SIM
     return f"""SELECT 'jaccard_benchmark_8cores.out' AS filename,
-  row_number() OVER (ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset) AS row_no,
+  (row_number() OVER (ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset))::INTEGER AS row_no,
   left_id::VARCHAR AS left_id, right_id::VARCHAR AS right_id, jaccard AS score
 FROM ({SIM['top10_pairs']})"""
 

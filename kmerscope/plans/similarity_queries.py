@@ -183,8 +183,8 @@ _SETS = f"""SELECT dataset, id, len,
 FROM ({_DOCS})"""
 _SETS_N = f"SELECT *, len(s) AS n FROM ({_SETS})"
 _LEN_OK = "abs(a.len - b.len) / greatest(a.len, b.len) <= 0.1"
-_PAIR_SELECT = ("a.dataset AS left_dataset, a.id AS left_id, a.len AS left_length, "
-                "b.dataset AS right_dataset, b.id AS right_id, b.len AS right_length")
+_PAIR_SELECT = ("a.dataset AS left_dataset, a.id AS left_id, a.len::INTEGER AS left_length, "
+                "b.dataset AS right_dataset, b.id AS right_id, b.len::INTEGER AS right_length")
 _J = "len(list_intersect(a.s, b.s))"
 _JACCARD = f"CASE WHEN {_J} = 0 THEN 0.0 ELSE {_J} / (a.n + b.n - {_J}) END"
 
@@ -209,8 +209,8 @@ i AS (
          b.n AS bn, count(*) AS inter
   FROM e a JOIN e b ON a.x = b.x AND a.dataset < b.dataset{cond}
   GROUP BY ALL)
-SELECT ad AS left_dataset, aid AS left_id, al AS left_length, bd AS right_dataset, bid AS right_id,
-       bl AS right_length, inter / (an + bn - inter) AS {score}
+SELECT ad AS left_dataset, aid AS left_id, al::INTEGER AS left_length, bd AS right_dataset, bid AS right_id,
+       bl::INTEGER AS right_length, inter / (an + bn - inter) AS {score}
 FROM i"""
 
 
@@ -238,10 +238,10 @@ FROM f CROSS JOIN c GROUP BY f.id, c.i"""
 
 
 ORACLES = {
-    "kmer_set_sizes": f"""SELECT id AS doc_id, len AS length,
-  greatest(len - 2, 0) AS bag_size,
-  CASE WHEN len >= 3 THEN len(list_distinct(list_transform(range(1, len - 1),
-       lambda i: cs[i] || cs[i + 1] || cs[i + 2]))) ELSE 0 END AS set_size
+    "kmer_set_sizes": f"""SELECT id AS doc_id, len::INTEGER AS length,
+  greatest(len - 2, 0)::INTEGER AS bag_size,
+  (CASE WHEN len >= 3 THEN len(list_distinct(list_transform(range(1, len - 1),
+       lambda i: cs[i] || cs[i + 1] || cs[i + 2]))) ELSE 0 END)::INTEGER AS set_size
 FROM ({_DOCS})""",
     "kmer_vocabulary": f"""WITH b AS (
   SELECT id, unnest(list_transform(range(1, len - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS kmer
@@ -268,8 +268,8 @@ both_dirs AS (
   UNION ALL
   SELECT right_dataset, right_id, left_dataset, left_id, jaccard FROM p)
 SELECT * FROM (
-  SELECT dataset, id, row_number() OVER (PARTITION BY dataset, id
-         ORDER BY jaccard DESC, partner_id, partner_dataset) AS rank, partner_dataset, partner_id, jaccard
+  SELECT dataset, id, (row_number() OVER (PARTITION BY dataset, id
+         ORDER BY jaccard DESC, partner_id, partner_dataset))::INTEGER AS rank, partner_dataset, partner_id, jaccard
   FROM both_dirs) WHERE rank <= {BEST_K}""",
     "similarity_bands": f"""WITH k AS ({_SETS_N}),
 p AS (SELECT {_JACCARD} AS j FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK})
