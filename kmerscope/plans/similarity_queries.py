@@ -103,6 +103,12 @@ def q_minhash_len_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
                         max_len_diff=MAX_LEN_DIFF).select(*PAIR_COLS, "minhash_similarity")
 
 
+def q_minhash_neighbour_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 with adjacent length buckets joined too (pairs across a bucket border, e.g. 199 vs 200)."""
+    return minhash_join(doc_tokens(spark, sf_dir), 1 - THRESHOLD, NUM_TABLES, 1, BUCKET, neighbours=1).select(
+        *PAIR_COLS, "minhash_similarity")
+
+
 def q_minhash_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = with_kmers(doc_items(spark, sf_dir), "seq", "kmers", K, distinct=False, encoding="string")
     return minhash_ml_join(items, 1 - THRESHOLD, NUM_TABLES, BUCKET, NUM_FEATURES).select(
@@ -166,6 +172,7 @@ QUERIES = {
     "minhash_signature": q_minhash_signature,
     "minhash_bucketed": q_minhash_bucketed,
     "minhash_len_filtered": q_minhash_len_filtered,
+    "minhash_neighbour_buckets": q_minhash_neighbour_buckets,
     "minhash_ml": q_minhash_ml,
     "method_recall": q_method_recall,
     "union_results": q_union_results,
@@ -223,8 +230,9 @@ def _threshold_sql(t: float, len_filter: bool = False) -> str:
     return f"SELECT * FROM ({_inverted_sql(_SETS_N, extra, 'jaccard')}) WHERE jaccard > {t}"
 
 
-def _lsh_sql(len_filter: bool = False) -> str:
-    extra = " AND a.bucket = b.bucket" + _size_cond(THRESHOLD) + (f" AND {_LEN_OK}" if len_filter else "")
+def _lsh_sql(len_filter: bool = False, neighbours: int = 0) -> str:
+    bucket = " AND a.bucket = b.bucket" if neighbours == 0 else f" AND abs(a.bucket - b.bucket) <= {neighbours}"
+    extra = bucket + _size_cond(THRESHOLD) + (f" AND {_LEN_OK}" if len_filter else "")
     inner = _inverted_sql(_FEATS_N, extra, "minhash_similarity")
     return f"SELECT * FROM ({inner}) WHERE minhash_similarity > {THRESHOLD}"
 
@@ -282,6 +290,7 @@ SELECT id AS doc_id, feature, count(*) AS tf FROM f GROUP BY id, feature""",
     "minhash_signature": _minhash_sig_sql(),
     "minhash_bucketed": _lsh_sql(),
     "minhash_len_filtered": _lsh_sql(True),
+    "minhash_neighbour_buckets": _lsh_sql(neighbours=1),
     "method_recall": f"""WITH e AS ({_threshold_sql(THRESHOLD)}), l AS ({_lsh_sql()})
 SELECT count(e.left_id) AS n_exact, count(l.left_id) AS n_lsh,
        count(CASE WHEN e.left_id IS NOT NULL AND l.left_id IS NOT NULL THEN 1 END) AS n_both
