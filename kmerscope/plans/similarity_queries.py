@@ -238,11 +238,11 @@ def _lsh_sql(len_filter: bool = False, neighbours: int = 0) -> str:
 
 
 def _minhash_sig_sql() -> str:
-    coeffs = ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(minhash_coefficients(NUM_TABLES)))
-    return f"""WITH k AS ({_FEATS}), f AS (SELECT id, unnest(s) AS f FROM k WHERE len(s) > 0),
-c(i, a, b) AS (VALUES {coeffs})
-SELECT f.id AS doc_id, c.i AS hash_index, min(((f.f + 1) * c.a + c.b) % {MINHASH_PRIME}) AS min_hash
-FROM f CROSS JOIN c GROUP BY f.id, c.i"""
+    mins = ", ".join(f"list_min(list_transform(s, lambda f: ((f + 1) * {a} + {b}) % {MINHASH_PRIME}))"
+                     for a, b in minhash_coefficients(NUM_TABLES))
+    return f"""WITH k AS ({_FEATS})
+SELECT id AS doc_id, unnest(range(0, {NUM_TABLES}))::INTEGER AS hash_index, unnest([{mins}]) AS min_hash
+FROM k WHERE len(s) > 0"""
 
 
 ORACLES = {
