@@ -57,3 +57,19 @@ def test_sample_size_errors(spark):
         check_sample_size(df, 11)
     with pytest.raises(ValueError):
         check_sample_size(df, 11, "dataset")
+
+
+def test_minhash_join_adjacent_buckets(spark):
+    rows = _fixture()
+    items = _items(spark, rows)
+    feats = {(r["_g"], r["id"]): (set(r["features"]), r["len_bucket"])
+             for r in hashed_features(items, bucket_width=10).collect()}
+    expect = set()
+    for (ga, ia), (fa, ba) in feats.items():
+        for (gb, ib), (fb, bb) in feats.items():
+            if ga < gb and abs(ba - bb) <= 1:
+                i = len(fa & fb)
+                if i and i / (len(fa) + len(fb) - i) > 0.9:
+                    expect.add((ga, ia, gb, ib))
+    got = {_key(r) for r in minhash_join(items, 0.1, bucket_width=10, neighbours=1).collect()}
+    assert got == expect
