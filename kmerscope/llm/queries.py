@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_zstd, rules_cascade, toxicity
+from . import anchor_dedup, mixing, quality_zstd, rules_cascade, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -32,6 +32,10 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_cascade.judge(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op7_quality_zstd": op7_quality_zstd,
     "op8_source_mix": op8_source_mix,
+    "op9_anchor_dedup": op9_anchor_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
