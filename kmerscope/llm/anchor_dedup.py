@@ -30,26 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .cover import COVERS, sample_places, sample_size, windows_around
 from .exchange import KEYS_SCHEMA, MASKS_SCHEMA, chunked, key_table, no_keys, repeated, told
 from .texthash import Texts, Words, covered, word_windows, words
 
-# Perfect difference sets: every difference modulo the period occurs (fixed values).
-COVERS = {
-    7: (0, 1, 3),
-    13: (0, 1, 3, 9),
-    21: (0, 1, 4, 14, 16),
-    31: (0, 1, 3, 8, 12, 18),
-    57: (0, 1, 3, 13, 32, 36, 43, 52),
-}
-
-
-def _anchors(w: Words, window: int, period: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of anchors and their hashes."""
-    size = window - period + 1
-    cover = np.zeros(period, bool)
-    cover[list(COVERS[period])] = True
-    at = np.flatnonzero(cover[w.place % period] & (w.left >= size))
-    return at, word_windows(w.hashes, size, at)
+def _anchors(w: Words, window: int, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of anchors, the numbers of their texts, and their hashes."""
+    at, text = sample_places(w.offsets, window, period)
+    return at, text, word_windows(w.hashes, sample_size(window, period), at)
 
 
 def _flags(hashes: np.ndarray, n_buckets: int, masks: pa.Table) -> np.ndarray:
@@ -60,13 +48,9 @@ def _flags(hashes: np.ndarray, n_buckets: int, masks: pa.Table) -> np.ndarray:
 
 def _suspects(w: Words, masks: pa.Table, window: int, period: int, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the windows that hold a repeated anchor, and their hashes."""
-    at, hashes = _anchors(w, window, period)
-    hits = at[_flags(hashes, n_buckets, masks)]
-    first = np.maximum(hits - (period - 1), np.repeat(w.offsets[:-1], w.counts)[hits])
-    step = np.zeros(len(w.hashes) + 1, np.int64)
-    np.add.at(step, first, 1)
-    np.add.at(step, hits + 1, -1)
-    starts = np.flatnonzero((np.cumsum(step[:-1]) > 0) & (w.left >= window))
+    at, text, hashes = _anchors(w, window, period)
+    hit = _flags(hashes, n_buckets, masks)
+    starts = windows_around(at[hit], text[hit], w.offsets, window, period)
     return starts, word_windows(w.hashes, window, starts)
 
 
@@ -76,8 +60,7 @@ def removed_words(docs: DataFrame, finish, schema, keep: list[str], window: int
 
     ``table`` has the chunk's rows (chunk, text, row); ``finish`` gives a table of ``schema``.
     """
-    if period not in COVERS or window < period:
-        raise ValueError(f"no difference cover of period {period} within a window of {window} words")
+    sample_size(window, period)
     chunks = chunked(docs, id_col, text_col, keep)
     # About one word in six bytes; an anchor's key counts half, being of 4 bytes.
     n1 = chunks.buckets(len(COVERS[period]) / period / 12)
@@ -85,7 +68,7 @@ def removed_words(docs: DataFrame, finish, schema, keep: list[str], window: int
     rows = chunks.rows
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        hashes = _anchors(words(Texts.of(table["text"])), window, period)[1]
+        hashes = _anchors(words(Texts.of(table["text"])), window, period)[2]
         return key_table(table["chunk"][0].as_py(), np.unique(hashes), n1, exact=False)
 
     anchor_masks = repeated(rows.groupBy("chunk").applyInArrow(send_anchors, KEYS_SCHEMA), exact=False)

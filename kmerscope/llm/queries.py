@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, mixing, quality_zstd, rules_cascade, toxicity
+from . import anchor_dedup, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_zstd.fit(docs, labels, fold(quoted("doc_id"), 4) != 2)
@@ -42,6 +46,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_zstd": op7_quality_zstd,
     "op8_source_mix": op8_source_mix,
     "op9_anchor_dedup": op9_anchor_dedup,

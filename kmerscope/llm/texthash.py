@@ -93,16 +93,6 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.offsets)
 
-    @property
-    def place(self) -> np.ndarray:
-        """Each word's number in its own text, from 0."""
-        return np.arange(len(self.hashes)) - np.repeat(self.offsets[:-1], self.counts)
-
-    @property
-    def left(self) -> np.ndarray:
-        """How many words its text has from each word on."""
-        return np.repeat(self.offsets[1:], self.counts) - np.arange(len(self.hashes))
-
 
 def words(texts: Texts, lower: bool = False) -> Words:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` lower-cases A-Z first."""
