@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
+from . import anchor_dedup, decontaminate, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_decontaminate": op3_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_zstd": op7_quality_zstd,
     "op8_source_mix": op8_source_mix,
@@ -128,4 +133,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 4 * len(list_distinct(words)) < least(n_words, 100)) AS kept
 FROM c"""
 
-ORACLES = {"op8_source_mix": _OP8, "op10_quality_rules": _OP10}
+_OP3 = r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS rid, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS toks
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS toks
+  FROM benchmark),
+tp AS (SELECT doc_id, rid, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM t),
+bp AS (SELECT item_id, len(toks) AS n, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM b),
+ts AS (
+  SELECT *, lead(tok, 1) OVER w AS t1, lead(tok, 2) OVER w AS t2, lead(tok, 3) OVER w AS t3, lead(tok, 4) OVER w AS t4,
+         lead(tok, 5) OVER w AS t5, lead(tok, 6) OVER w AS t6, lead(tok, 7) OVER w AS t7, lead(tok, 8) OVER w AS t8
+  FROM tp WINDOW w AS (PARTITION BY rid ORDER BY pos)),
+bs AS (
+  SELECT *, lead(tok, 1) OVER w AS t1, lead(tok, 2) OVER w AS t2, lead(tok, 3) OVER w AS t3, lead(tok, 4) OVER w AS t4,
+         lead(tok, 5) OVER w AS t5, lead(tok, 6) OVER w AS t6, lead(tok, 7) OVER w AS t7, lead(tok, 8) OVER w AS t8
+  FROM bp WINDOW w AS (PARTITION BY item_id ORDER BY pos)),
+hit AS (
+  SELECT rid, item_id, ts.pos - bs.pos AS shift FROM ts JOIN bs
+    ON ts.tok = bs.tok AND ts.t1 = bs.t1 AND ts.t3 = bs.t3 AND ts.t5 = bs.t5 AND ts.t6 = bs.t6 AND ts.t8 = bs.t8
+  UNION
+  SELECT rid, item_id, ts.pos - bs.pos FROM ts JOIN bs
+    ON ts.tok = bs.tok AND ts.t2 = bs.t2 AND ts.t3 = bs.t3 AND ts.t4 = bs.t4 AND ts.t7 = bs.t7 AND ts.t8 = bs.t8),
+al AS (
+  SELECT hit.rid, hit.item_id, hit.shift, bp.n, bp.pos, coalesce((tp.tok = bp.tok)::INT, 0) AS same
+  FROM hit JOIN bp USING (item_id) LEFT JOIN tp ON tp.rid = hit.rid AND tp.pos = bp.pos + hit.shift),
+win AS (
+  SELECT *, sum(same) OVER (PARTITION BY rid, item_id, shift ORDER BY pos ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS near FROM al),
+line AS (SELECT rid, item_id, shift, any_value(n) AS n, max(near) AS best, sum(same) AS total FROM win GROUP BY ALL)
+SELECT doc_id, item_id, max(best)::BIGINT AS n_best, max(total)::BIGINT AS n_agree
+FROM line JOIN t USING (rid) WHERE best >= ceil(least(13, n) * 0.8 - 1e-9)
+GROUP BY doc_id, item_id"""
+
+ORACLES = {"op3_decontaminate": _OP3, "op8_source_mix": _OP8, "op10_quality_rules": _OP10}
