@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, decontaminate, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
+from . import anchor_dedup, decontaminate, jaccard_groups, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -21,6 +21,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_decontaminate": op3_decontaminate,
+    "op5_jaccard_groups": op5_jaccard_groups,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_zstd": op7_quality_zstd,
     "op8_source_mix": op8_source_mix,
