@@ -90,14 +90,14 @@ def packed(names: list[str]) -> Column:
     return F.struct(*[quoted(c).alias(c) for c in names])
 
 
-def _bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     """A bucket for each key, not falling as the key grows."""
     return ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
 
 
 def _ranges(unique: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The buckets that ascending keys fall in, and where in the keys each begins and the last ends."""
-    b = _bucket(unique, n_buckets)
+    b = bucket_of(unique, n_buckets)
     cut = np.flatnonzero(np.diff(b)) + 1
     return b[np.concatenate([[0], cut])] if len(b) else b, np.concatenate([[0], cut, [len(b)]])
 

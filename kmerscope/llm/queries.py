@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, decontaminate, jaccard_groups, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
+from . import anchor_dedup, decontaminate, jaccard_groups, maxent_lm, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -17,6 +17,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(quoted("doc_id"), 7) == 2
+    return maxent_lm.score(docs, ~held_out).withColumn("held_out", held_out)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_maxent_lm": op2_maxent_lm,
     "op3_decontaminate": op3_decontaminate,
     "op5_jaccard_groups": op5_jaccard_groups,
     "op6_suffix_dedup": op6_suffix_dedup,

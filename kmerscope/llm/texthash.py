@@ -85,9 +85,10 @@ def _blocks(space: np.ndarray, offsets: np.ndarray):
 
 @dataclass
 class Words:
-    """Word hashes of a batch; text i has those from ``offsets[i]`` to ``offsets[i + 1]``."""
+    """Words of a batch as hashes; text i has those from ``offsets[i]`` to ``offsets[i + 1]``."""
     hashes: np.ndarray
     offsets: np.ndarray
+    ends: np.ndarray  # of each word, among the batch's bytes
 
     @property
     def counts(self) -> np.ndarray:
@@ -98,7 +99,7 @@ def words(texts: Texts, lower: bool = False) -> Words:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` lower-cases A-Z first."""
     table = _LOWER_BYTES if lower else _BYTES
     space = _SPACE[texts.data]
-    found, begun = [], []
+    found, begun, ended = [], [], []
     for at, end in _blocks(space, texts.offsets):
         word = ~space[at:end]
         edge = texts.offsets[np.searchsorted(texts.offsets, at):np.searchsorted(texts.offsets, end)] - at
@@ -117,9 +118,11 @@ def words(texts: Texts, lower: bool = False) -> Words:
         h = (total[ends] - total[starts]) * _powers(_INVERSE, len(word))[starts]
         found.append(mix(h + (ends - starts).astype(np.uint64)))
         begun.append(starts + at)
+        ended.append(ends + at)
     hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
     starts = np.concatenate(begun) if begun else np.zeros(0, np.int64)
-    return Words(hashes, np.searchsorted(starts, texts.offsets))
+    ends = np.concatenate(ended) if ended else np.zeros(0, np.int64)
+    return Words(hashes, np.searchsorted(starts, texts.offsets), ends)
 
 
 def word_windows(hashes: np.ndarray, size: int, at: np.ndarray | None = None) -> np.ndarray:
