@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, decontaminate, jaccard_groups, maxent_lm, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
+from . import anchor_dedup, chat, decontaminate, jaccard_groups, maxent_lm, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
 from .common import fold, quoted, table, words
 
 
@@ -27,6 +27,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat.exchanges_as_calls(table(spark, sf_dir, "conversations"))
+    schemas = {"reply": {"prompt": chat.Param("string"), "words": chat.Param("integer")}}
+    return chat.format_chats(messages, schemas).withColumn("linked_turn", F.coalesce("linked_turn", F.lit(-1)))
+
+
 def op5_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_maxent_lm": op2_maxent_lm,
     "op3_decontaminate": op3_decontaminate,
+    "op4_chat_tools": op4_chat_tools,
     "op5_jaccard_groups": op5_jaccard_groups,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_quality_zstd": op7_quality_zstd,
@@ -178,4 +185,24 @@ SELECT doc_id, item_id, max(best)::BIGINT AS n_best, max(total)::BIGINT AS n_agr
 FROM line JOIN t USING (rid) WHERE best >= ceil(least(13, n) * 0.8 - 1e-9)
 GROUP BY doc_id, item_id"""
 
-ORACLES = {"op3_decontaminate": _OP3, "op8_source_mix": _OP8, "op10_quality_rules": _OP10}
+_OP4 = rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, text, conv_id || ':' || turn AS own, conv_id || ':' || (turn - 1) AS before FROM conversations),
+calls AS (SELECT conv_id, own AS id, min(turn) AS turn FROM c WHERE role = 'user' GROUP BY ALL),
+results AS (SELECT conv_id, before AS id, min(turn) AS turn FROM c WHERE role = 'assistant' GROUP BY ALL)
+SELECT c.conv_id, c.turn, 0 AS sub, c.turn AS place, 0 AS "order", 0 AS lift,
+       CASE c.role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+       CASE c.role WHEN 'user' THEN own WHEN 'assistant' THEN before END AS call_id,
+       coalesce(CASE c.role WHEN 'user' THEN r.turn WHEN 'assistant' THEN k.turn END, -1) AS linked_turn,
+       CASE WHEN c.role = 'user' AND r.turn IS NULL THEN 'unanswered'
+            WHEN c.role = 'user' THEN 'valid'
+            WHEN c.role = 'assistant' AND k.turn IS NULL THEN 'orphan' ELSE 'ok' END AS status,
+       CASE c.role
+         WHEN 'user' THEN '{{"arguments":{{"prompt":' || to_json(text) || ',"words":' || len(regexp_extract_all(text, '{_WORD}'))
+                          || '}},"id":"' || own || '","kind":"call","name":"reply","role":"assistant"}}'
+         WHEN 'assistant' THEN '{{"content":' || to_json(text) || ',"id":"' || before || '","kind":"result","role":"tool"}}'
+         ELSE '{{"content":' || to_json(text) || ',"kind":"message","role":"' || c.role || '"}}' END AS json
+FROM c LEFT JOIN results r ON c.role = 'user' AND r.conv_id = c.conv_id AND r.id = c.own
+       LEFT JOIN calls k ON c.role = 'assistant' AND k.conv_id = c.conv_id AND k.id = c.before"""
+
+ORACLES = {"op4_chat_tools": _OP4, "op3_decontaminate": _OP3, "op8_source_mix": _OP8, "op10_quality_rules": _OP10}
