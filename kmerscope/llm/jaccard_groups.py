@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialise, quoted
 from .components import components
@@ -52,11 +53,16 @@ def _extra(n: int) -> int:
     return max(1, n // 10)
 
 
+def _in_order(table: pa.Table, id_at: int) -> pa.Table:
+    """A chunk's rows in an order that depends on ids and texts alone; a row's uid is its place in it."""
+    ids = pc.struct_field(table["row"], [id_at])
+    return table.take(pc.sort_indices(pa.table({"id": ids, "text": table["text"]}),
+                                      sort_keys=[("id", "ascending"), ("text", "ascending")]))
+
+
 def _sets(table: pa.Table, shingle: int) -> tuple[pa.Table, list[np.ndarray]]:
     """A chunk's rows in a fixed order, and each one's distinct shingle hashes, ascending."""
-    order = pc.sort_indices(pa.table({"id": pc.struct_field(table["row"], [0]), "text": table["text"]}),
-                            sort_keys=[("id", "ascending"), ("text", "ascending")])
-    table = table.take(order)
+    table = _in_order(table, 0)
     w = words(Texts.of(table["text"]), lower=True)
     hashes = word_windows(w.hashes, shingle)
     out = []
@@ -212,13 +218,8 @@ def _open_pairs(percent: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                 percent: int = 90) -> DataFrame:
-    """``id_col, n_shingles, component_id, n_links`` for every row.
-
-    Documents link at a Jaccard similarity of ``percent`` / 100 or more;
-    ``component_id`` is the smallest id reachable by links.
-    """
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """``uid, id, n, label, links`` for every row; ``label`` is null for those that cannot have a link."""
     every = materialise(_documents(docs, id_col, text_col, shingle, percent), "shingle-sets")
     some = every.where(F.col("keys").isNotNull())
     same = ["print1", "print2", "n"]
@@ -257,9 +258,44 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = (member.join(label.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left")
              .select("uid", F.coalesce("label", "rep").alias("label"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    told_ = every.select("uid", "id", "n").join(known, "uid", "left")
-    lowest = told_.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("lowest"))
-    return told_.join(lowest, "label", "left").select(
+    return every.select("uid", "id", "n").join(known, "uid", "left")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                 percent: int = 90) -> DataFrame:
+    """``id_col, n_shingles, component_id, n_links`` for every row.
+
+    Documents link at a Jaccard similarity of ``percent`` / 100 or more;
+    ``component_id`` is the smallest id reachable by links.
+    """
+    rows = _components(docs, id_col, text_col, shingle, percent)
+    lowest = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("lowest"))
+    return rows.join(lowest, "label", "left").select(
         quoted("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (all columns) with one row of each component: that of the smallest id (a null id counts as the largest).
+
+    Rows without shingles stay.
+    """
+    rows = _components(docs, id_col, text_col, shingle, percent).where(F.col("label").isNotNull())
+    rows = materialise(rows.select("uid", "id", "label"), "components")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "uid")
+    first = rows.groupBy("label").agg(F.min(order)["uid"].alias("first"))
+    gone = rows.join(first, "label").where(F.col("uid") != F.col("first")).select(
+        F.shiftright("uid", 32).cast("int").alias("chunk"), F.col("uid").bitwiseAND(F.lit((1 << 32) - 1)).alias("at"))
+    row = T.StructType([docs.schema[c] for c in docs.columns])
+    chunks = chunked(docs, id_col, text_col, docs.columns)
+    at = docs.columns.index(id_col)
+
+    def stay(table: pa.Table, gone: pa.Table) -> pa.Table:
+        table = _in_order(table, at)
+        keep = np.ones(len(table), bool)
+        keep[gone["at"].to_numpy()] = False
+        return table.select(["row"]).filter(pa.array(keep))
+
+    out = chunks.rows.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(stay, T.StructType([T.StructField("row", row)]))
+    return out.select("row.*")
