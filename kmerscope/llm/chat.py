@@ -17,7 +17,7 @@ whose results it needs), a tool message an object with ``tool_call_id`` and
    space.
 
 No conversation is ever gathered: its lines in order are
-``orderBy(conv_id, place, sub, lift)``.
+``orderBy(conv_id, place, order, lift)``.
 
 Defined results: null or malformed texts are plain messages (a null content); a
 null conversation is one conversation; repeated rows give repeated lines, their
@@ -94,31 +94,32 @@ def _place(prefix: str = "") -> Column:
 
 
 def _ordered(lines: DataFrame) -> DataFrame:
-    """``lines`` (with ``line``, ``call_line`` and ``after_lines``) and ``place, lift, cyclic``."""
+    """``lines`` (with ``line``, ``call_line`` and ``after_lines``) and ``place, order, lift, cyclic``."""
     start = lines.withColumn("place", F.col("turn")).withColumn("lift", F.lit(0))
     links = lines.select(F.col("line").alias("child"), F.explode(F.array_distinct(F.concat(
         F.when(F.col("kind") == "result", F.array("call_line")).otherwise(F.array().cast("array<long>")), "after_lines"))).alias("parent"))
     links = links.where(F.col("parent").isNotNull() & (F.col("parent") != F.col("child")))
     state = start.select("line", "place", "sub", "lift")
-    rounds, most = 0, None
+    rounds, most = 0, 0
     while True:
         parents = state.select(F.col("line").alias("parent"), *[F.col(c).alias("p_" + c) for c in ("place", "sub", "lift")])
         waits = links.join(parents, "parent").join(state, F.col("child") == F.col("line"))
         late = waits.where(_place("p_") >= _place()).groupBy("line").agg(F.max(_place("p_")).alias("p"))
         late = late.select("line", "p.p_place", "p.p_sub", (F.col("p.p_lift") + 1).alias("p_lift"))
         if not late.limit(1).count():
-            cyclic = late.select("line", F.lit(True).alias("cyclic"))
             break
-        links, rounds = (materialise(links, "links"), 1) if not rounds else (links, rounds + 1)
-        if most is None:
-            most = links.join(lines.select(F.col("line").alias("child"), "conv"), "child").groupBy("conv").count().agg(F.max("count")).first()[0]
-        if rounds > 2 * most + 1:
-            cyclic = late.select("line", F.lit(True).alias("cyclic"))
+        if not rounds:
+            links = materialise(links, "links")
+            owner = lines.select(F.col("line").alias("child"), "conv")
+            most = links.join(owner, "child").groupBy("conv").count().agg(F.max("count")).first()[0]
+        rounds += 1
+        # Without a cycle no line is lifted over more links than its conversation has; in one, all are by then.
+        if rounds > 3 * most + 1:
             break
         state = materialise(state.join(late, "line", "left").select(
             "line", *[F.coalesce("p_" + c, c).alias(c) for c in ("place", "sub", "lift")]), "places")
     placed = state.withColumnRenamed("sub", "order")
-    return lines.join(placed, "line").join(cyclic, "line", "left").withColumn("cyclic", F.coalesce("cyclic", F.lit(False)))
+    return lines.join(placed, "line").withColumn("cyclic", (F.col("lift") > most) & F.lit(rounds > 0))
 
 
 def format_chats(messages: DataFrame, schemas: dict[str, dict[str, Param]], conv_col: str = "conv_id", turn_col: str = "turn",

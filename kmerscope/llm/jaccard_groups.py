@@ -15,8 +15,9 @@ threshold.  Work is cut down step by step, and no step loses a link:
    bounds its overlap with every set in it; only sets that reach the needed
    overlap are opened, and their exact overlaps are computed together.
 
-A block pair yields the number of links of each set and a spanning forest of
-them, never the links themselves; components are found over these forests.
+Of two blocks the smaller one's sets travel to the larger.  What they find is the
+number of links of each set and a spanning forest of them, never the links
+themselves; components are found over these forests.
 
 Defined results: null, empty and blank texts have no shingles and are linked with
 nothing; a text of fewer words than a shingle has all of them as its one
@@ -185,36 +186,48 @@ def _forest(link: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _open_pairs(percent: int):
-    """For rows of two blocks: ``uid, other`` of the forests' edges, and ``uid, links`` (other is null) of the sets."""
-    def run(batches):
-        for batch in batches:
-            for pair in batch.to_pylist():
-                x = _Block(pair["x"])
-                y = x if pair["y"] is None else _Block(pair["y"])
-                link = _linked(x, y, percent)
-                if y is x:
-                    np.fill_diagonal(link, False)
-                    uid, whole = x.uid, link
-                    found = [(x.uid, link @ x.copies)]
-                else:
-                    uid = np.concatenate([x.uid, y.uid])
+VISIT_BYTES = 4 << 20
+_FOUND = pa.schema([("uid", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
+
+
+def _open(percent: int):
+    """Open a block for its own sets (in part 0) and for the visiting ones.
+
+    Gives ``uid, other`` of spanning forests' edges, and ``uid, links`` (other is -1) of the sets.
+    """
+    def rows(uid: np.ndarray, whole: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+        edges = np.array(_forest(whole), np.int64).reshape(-1, 2)
+        u, v, links = [uid[edges[:, 0]]], [uid[edges[:, 1]]], [np.zeros(len(edges), np.int64)]
+        for who, n in found:
+            u.append(who[n > 0])
+            v.append(np.full(int((n > 0).sum()), -1, np.int64))
+            links.append(n[n > 0].astype(np.int64))
+        return pa.table({"uid": np.concatenate(u), "other": np.concatenate(v), "links": np.concatenate(links)}, _FOUND)
+
+    def run(homes: pa.Table, visits: pa.Table) -> pa.Table:
+        out = [_FOUND.empty_table()]
+        if not len(homes):
+            return out[0]
+        home = _Block(homes["pack"][0].as_py())
+        if homes["part"][0].as_py() == 0 and len(home.uid) > 1:
+            link = _linked(home, home, percent)
+            np.fill_diagonal(link, False)
+            out.append(rows(home.uid, link, [(home.uid, link @ home.copies)]))
+        waiting = []
+        for k, pack in enumerate(visits["guest"]):
+            waiting += pack.as_py()
+            if len(waiting) >= BLOCK_SETS or k == len(visits) - 1:
+                guests = _Block(waiting)
+                waiting = []
+                link = _linked(home, guests, percent)
+                if link.any():
+                    uid, n = np.concatenate([home.uid, guests.uid]), len(home.uid)
                     whole = np.zeros((len(uid), len(uid)), bool)
-                    whole[:len(x.uid), len(x.uid):] = link
+                    whole[:n, n:] = link
                     whole |= whole.T
-                    found = [(x.uid, link @ y.copies), (y.uid, link.T @ x.copies)]
-                edges = _forest(whole)
-                u = [uid[[i for i, _ in edges]]] if edges else []
-                v = [uid[[j for _, j in edges]]] if edges else []
-                links = [np.zeros(len(edges), np.int64)]
-                for who, n in found:
-                    some = n > 0
-                    u.append(who[some])
-                    v.append(np.full(int(some.sum()), -1))
-                    links.append(n[some].astype(np.int64))
-                if sum(map(len, u)):
-                    yield pa.record_batch({"uid": np.concatenate(u), "other": np.concatenate(v).astype(np.int64),
-                                           "links": np.concatenate(links)})
+                    out.append(rows(uid, whole, [(home.uid, link @ guests.copies), (guests.uid, link.T @ home.copies)]))
+        return pa.concat_tables(out)
+
     return run
 
 
@@ -223,8 +236,10 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
     every = materialise(_documents(docs, id_col, text_col, shingle, percent), "shingle-sets")
     some = every.where(F.col("keys").isNotNull())
     same = ["print1", "print2", "n"]
-    classes = some.groupBy(*same).agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    member = materialise(some.select("uid", *same).join(classes, same).select("uid", "rep", "copies"), "classes")
+    classes = materialise(some.groupBy(*same).agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("copies"))
+                          .where(F.col("copies") > 1), "classes")
+    member = materialise(some.select("uid", *same).join(classes, same, "left").select(
+        "uid", F.coalesce("rep", "uid").alias("rep"), F.coalesce("copies", F.lit(1)).cast("long").alias("copies")), "members")
 
     reps = some.join(member.where(F.col("uid") == F.col("rep")).select("uid", "copies"), "uid")
     slim = reps.select("uid", "n", "need", "keys", F.array_min("keys").alias("least"))
@@ -245,13 +260,24 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
              .select("first", "second").distinct())
 
     packs = (reps.select("uid", "copies", "set").join(placed.select("uid", "block"), "uid")
-             .groupBy("block").agg(F.collect_list(F.struct("uid", "copies", "set")).alias("pack")))
+             .groupBy("block").agg(F.collect_list(F.struct("uid", "copies", "set")).alias("pack"), F.sum(F.length("set")).alias("bytes")))
     packs = materialise(packs, "packs")
-    x = packs.select(F.col("block").alias("first"), F.col("pack").alias("x"))
-    y = packs.select(F.col("block").alias("second"), F.col("pack").alias("y"))
-    alone = x.where(F.size("x") > 1).select("x", F.lit(None).cast(y.schema["y"].dataType).alias("y"))
-    opened = pairs.join(x, "first").join(y, "second").select("x", "y").unionByName(alone)
-    found = materialise(opened.mapInArrow(_open_pairs(percent), "uid long, other long, links long"), "links")
+    # Of two blocks the smaller one's sets visit the larger; a block with many visitors opens in several parts.
+    weight = packs.select("block", "bytes")
+    w1 = weight.select(F.col("block").alias("first"), F.struct("bytes", F.col("block").alias("b")).alias("x"))
+    w2 = weight.select(F.col("block").alias("second"), F.struct("bytes", F.col("block").alias("b")).alias("y"))
+    visits = pairs.join(w1, "first").join(w2, "second").select(
+        F.greatest("x", "y")["b"].alias("home"), F.least("x", "y")["b"].alias("visitor"), F.least("x", "y")["bytes"].alias("bytes"))
+    visits = materialise(visits, "visits")
+    parts = visits.groupBy("home").agg(F.ceil(F.sum("bytes") / F.lit(VISIT_BYTES)).cast("int").alias("parts"))
+    parts = materialise(parts, "parts")
+    guests = (visits.join(parts, "home").join(packs.select(F.col("block").alias("visitor"), F.col("pack").alias("guest")), "visitor")
+              .select(F.col("home").alias("to"), F.pmod(F.xxhash64("visitor"), F.col("parts")).cast("int").alias("to_part"), "guest"))
+    homes = packs.select(F.col("block").alias("home"), "pack").join(parts, "home", "left").where(
+        F.col("parts").isNotNull() | (F.size("pack") > 1))
+    homes = homes.select("home", "pack", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
+    found = materialise(homes.select("home", "part", "pack").groupBy("home", "part").cogroup(guests.groupBy("to", "to_part"))
+                        .applyInArrow(_open(percent), "uid long, other long, links long"), "links")
 
     label = components(found.where(F.col("other") >= 0).select(F.col("uid").alias("a"), F.col("other").alias("b")))
     links = found.groupBy(F.col("uid").alias("rep")).agg(F.sum("links").alias("links"))
@@ -269,7 +295,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``component_id`` is the smallest id reachable by links.
     """
     rows = _components(docs, id_col, text_col, shingle, percent)
-    lowest = rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("lowest"))
+    rows = materialise(rows, "components")
+    lowest = materialise(rows.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("id").alias("lowest")), "lowest")
     return rows.join(lowest, "label", "left").select(
         quoted("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("component_id"),
@@ -284,7 +311,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     rows = _components(docs, id_col, text_col, shingle, percent).where(F.col("label").isNotNull())
     rows = materialise(rows.select("uid", "id", "label"), "components")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "uid")
-    first = rows.groupBy("label").agg(F.min(order)["uid"].alias("first"))
+    first = materialise(rows.groupBy("label").agg(F.min(order)["uid"].alias("first")), "first")
     gone = rows.join(first, "label").where(F.col("uid") != F.col("first")).select(
         F.shiftright("uid", 32).cast("int").alias("chunk"), F.col("uid").bitwiseAND(F.lit((1 << 32) - 1)).alias("at"))
     row = T.StructType([docs.schema[c] for c in docs.columns])
