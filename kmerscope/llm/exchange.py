@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,9 +91,15 @@ def packed(names: list[str]) -> Column:
     return F.struct(*[quoted(c).alias(c) for c in names])
 
 
+def _scaled(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Keys scaled to [0, n_buckets) with 32 bits of fraction; does not fall as the key grows."""
+    n, low = np.uint64(n_buckets), keys & np.uint64(0xFFFFFFFF)
+    return (keys >> np.uint64(32)) * n + (low * n >> np.uint64(32))
+
+
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     """A bucket for each key, not falling as the key grows."""
-    return ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
+    return (_scaled(keys, n_buckets) >> np.uint64(32)).astype(np.int32)
 
 
 def _ranges(unique: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -102,12 +109,23 @@ def _ranges(unique: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]
     return b[np.concatenate([[0], cut])] if len(b) else b, np.concatenate([[0], cut, [len(b)]])
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, byte by byte of equal weight: the high ones are small and compress."""
+    steps = np.diff(keys, prepend=keys.dtype.type(0))
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, keys.itemsize).T.tobytes(), 1)
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(kind).ravel(), dtype=kind)
+
+
 def key_table(chunk: int, unique: np.ndarray, n_buckets: int, exact: bool) -> pa.Table:
-    """A chunk's distinct keys, ascending, for the buckets; 4 bytes of each where a few false repeats do no harm."""
+    """A chunk's distinct keys, ascending, for the buckets; 32 bits below the bucket's where a few false repeats do no harm."""
     buckets, cuts = _ranges(unique, n_buckets)
-    sent = unique if exact else unique.astype(np.uint32)
+    sent = unique if exact else _scaled(unique, n_buckets).astype(np.uint32)
     return pa.table({"bucket": buckets, "chunk": np.full(len(buckets), chunk, np.int32),
-                     "keys": [sent[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)][:len(buckets)]}, _KEYS)
+                     "keys": [_packed(sent[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)][:len(buckets)]}, _KEYS)
 
 
 def no_keys() -> pa.Table:
@@ -124,7 +142,7 @@ def repeated(keys: DataFrame, exact: bool, later_only: bool = False) -> DataFram
 
     def answer(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
-        sent = [np.frombuffer(x, kind) for x in table["keys"].to_pylist()]
+        sent = [_unpacked(x, kind) for x in table["keys"].to_pylist()]
         cuts = np.cumsum([len(x) for x in sent])[:-1]
         every = np.concatenate(sent)
         order = np.argsort(every, kind="stable")
