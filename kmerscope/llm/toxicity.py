@@ -41,7 +41,8 @@ SECOND_PERSON = frozenset("""
     you your yours yourself u ur du dich dir dein deine euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes
 """.split())
 TOKEN = re.compile(r"\w+")
-HIDDEN = re.compile(r"[^\W\d_]+[0-9@$*!.]+[^\W\d_]+")
+# Only from the start of a run of letters, and without going back: linear in a text without white space too.
+HIDDEN = re.compile(r"(?<![^\W\d_])[^\W\d_]++[0-9@$*!.]++[^\W\d_]+")
 UNHIDE = str.maketrans("013457@$!", "oieastasi", "*.")
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SYMBOLS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
