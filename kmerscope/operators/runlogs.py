@@ -9,6 +9,8 @@ scans of ``scan.py`` so one huge log file never lands in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ from .scan import DEFAULT_CHUNK, carry_forward, running_sum
 
 # The log formats the parsers must read.
 RUN_FILE_NAME = r"^(\w+)_benchmark_(\d+)cores\.out$"
-TIME_REAL = r"real\s+(\d+)m([\d.]+)s"
-TIME_USER = r"user\s+(\d+)m([\d.]+)s"
-TIME_SYS = r"sys\s+(\d+)m([\d.]+)s"
+TIME_REAL = r"real\s+(\d+m[\d.]+)s"
+TIME_USER = r"user\s+(\d+m[\d.]+)s"
+TIME_SYS = r"sys\s+(\d+m[\d.]+)s"
 BLOCK_SEPARATOR = r"={10,}"
 BENCHMARKING = r"(?i)Benchmarking:\s*(\w+)"
 SPARK_CONFIG = r"Spark configuration for (\d+) cores:"
@@ -39,11 +41,14 @@ def _extract(col: Column, pattern: str, group: int) -> Column:
     return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
 
 
+def _seconds(printed: Column) -> Column:
+    """``NmS.S`` -> ``N * 60 + S.S`` (null if malformed)."""
+    return F.substring_index(printed, "m", 1).try_cast("bigint") * 60 + F.substring_index(printed, "m", -1).try_cast("double")
+
+
 def duration_seconds(text: Column, pattern: str) -> Column:
-    """``NmS.Ss`` captured by ``pattern`` -> ``N * 60 + S.S`` seconds (null if absent)."""
-    m = _extract(text, pattern, 1).cast("bigint")
-    s = _extract(text, pattern, 2).cast("double")
-    return m * 60 + s
+    """``NmS.Ss`` captured by ``pattern`` -> ``N * 60 + S.S`` seconds (null if absent or malformed)."""
+    return _seconds(F.regexp_extract(text, pattern, 1))
 
 
 def file_name(path: Column) -> Column:
@@ -54,18 +59,21 @@ def run_timing_all(files: DataFrame) -> DataFrame:
     """Every file with what could be parsed and a ``reject_reason`` (null when usable)."""
     name = file_name(F.col("path"))
     c = F.col("content")
-    out = files.select(
+    times = {"real_time": TIME_REAL, "user_time": TIME_USER, "sys_time": TIME_SYS}
+    found = files.select(
         _extract(name, RUN_FILE_NAME, 1).alias("method"),
-        _extract(name, RUN_FILE_NAME, 2).cast("int").alias("cores"),
-        duration_seconds(c, TIME_REAL).alias("real_time"),
-        duration_seconds(c, TIME_USER).alias("user_time"),
-        duration_seconds(c, TIME_SYS).alias("sys_time"),
-        name.alias("filename"),
-        F.col("path"))
-    reason = (F.when(F.col("method").isNull(), "file name not <method>_benchmark_<n>cores.out")
-              .when(F.col("real_time").isNull() | F.col("user_time").isNull() | F.col("sys_time").isNull(),
-                    "missing real/user/sys time"))
-    return out.withColumn("reject_reason", reason)
+        _extract(name, RUN_FILE_NAME, 2).try_cast("int").alias("cores"),
+        *[F.regexp_extract(c, p, 1).alias("_" + t) for t, p in times.items()],
+        name.alias("filename"), "path")
+    out = found.select("method", "cores", *[_seconds(F.col("_" + t)).alias(t) for t in times],
+                       F.concat_ws(" ", *["_" + t for t in times]).alias("_printed"), "filename", "path")
+    missing = F.col("real_time").isNull() | F.col("user_time").isNull() | F.col("sys_time").isNull()
+    garbled = F.lit(False)
+    for k, t in enumerate(times):
+        garbled = garbled | (F.col(t).isNull() & (F.split_part("_printed", F.lit(" "), F.lit(k + 1)) != ""))
+    reason = (F.when(F.col("method").isNull() | F.col("cores").isNull(), "file name not <method>_benchmark_<n>cores.out")
+              .when(garbled, "malformed real/user/sys time").when(missing, "missing real/user/sys time"))
+    return out.withColumn("reject_reason", reason).drop("_printed")
 
 
 def run_timing(files: DataFrame) -> DataFrame:
@@ -87,13 +95,24 @@ def run_summary(timing: DataFrame) -> DataFrame:
 
 
 def run_pivot(timing: DataFrame, methods: list[str]) -> DataFrame:
-    """Cores x method -> wall time; one column per method, named as the reference capitalises it.
+    """Cores x method -> wall time, one column per method, named as the reference capitalises it.
 
-    Several runs of one (cores, method) keep the fastest (the reference's
-    pandas pivot raises on duplicates).
+    Several runs of one (cores, method) are all accounted for: ``<Method>`` is
+    the fastest, ``<Method>_slowest`` the slowest and ``<Method>_runs`` their
+    number.  ``other_runs`` counts runs of methods not listed.
     """
-    p = timing.groupBy("cores").pivot("method", methods).agg(F.min("real_time"))
-    return p.select("cores", *[F.col(m).alias(m.capitalize()) for m in methods])
+    def of(m: str):
+        return F.when(F.col("method") == m, F.col("real_time"))
+
+    each = [c for m in methods for c in (
+        F.min(of(m)).alias(m.capitalize()), F.max(of(m)).alias(f"{m.capitalize()}_slowest"),
+        F.count(of(m)).alias(f"{m.capitalize()}_runs"))]
+    return timing.groupBy("cores").agg(*each, F.count_if(~F.col("method").isin(methods)).alias("other_runs"))
+
+
+def by_method_and_cores(runs: DataFrame) -> DataFrame:
+    """Any run table sorted by (method, cores), as the reference's reports are."""
+    return runs.orderBy("method", "cores")
 
 
 def run_speedup(timing: DataFrame, method_a: str, method_b: str) -> DataFrame:
@@ -118,7 +137,7 @@ def _with_blocks(lines: DataFrame, chunk: int) -> DataFrame:
 def run_config(lines: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """L2: ``method, cores, partitions, driver_memory, executor_memory, max_result_size``.
 
-    The log is cut into blocks at separator lines.  A block's
+    The log is cut into blocks at separator lines.  A block's first
     ``Benchmarking: <m>`` line (anywhere in it) sets the current method, which
     carries over to later blocks; a block with ``Spark configuration for <n>
     cores:`` gives one row, values missing from it are null, and a block
@@ -132,10 +151,10 @@ def run_config(lines: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
         return F.min_by(v, F.when(v.isNotNull(), F.col("line_no")))
 
     blocks = b.groupBy("path", "block").agg(
-        F.max_by(F.lower(_extract(line, BENCHMARKING, 1)),
+        F.min_by(F.lower(_extract(line, BENCHMARKING, 1)),
                  F.when(line.rlike(BENCHMARKING), F.col("line_no"))).alias("_method_here"),
-        first(SPARK_CONFIG).cast("int").alias("cores"),
-        first(PARTITIONS).cast("int").alias("partitions"),
+        first(SPARK_CONFIG).try_cast("int").alias("cores"),
+        first(PARTITIONS).try_cast("int").alias("partitions"),
         first(DRIVER_MEMORY).alias("driver_memory"),
         first(EXECUTOR_MEMORY).alias("executor_memory"),
         first(MAX_RESULT_SIZE).alias("max_result_size"))
@@ -155,10 +174,10 @@ def run_config_mb(lines: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     d = carry_forward(d, ["path"], "line_no", "_hdr", "_start", chunk)
     d = d.where(F.col("_start").isNotNull())
     hdr = (d.where(F.col("line_no") == F.col("_start"))
-           .select("path", "_start", _extract(line, LINE_SPARK_CONFIG, 1).cast("int").alias("cores")))
+           .select("path", "_start", _extract(line, LINE_SPARK_CONFIG, 1).try_cast("int").alias("cores")))
 
     def last(pattern: str) -> Column:
-        v = _extract(line, pattern, 1).cast("int")
+        v = _extract(line, pattern, 1).try_cast("int")
         return F.max_by(v, F.when(v.isNotNull(), F.col("line_no")))
 
     rec = d.groupBy("path", "_start").agg(
@@ -176,8 +195,8 @@ def failed_runs(lines: DataFrame) -> DataFrame:
     line = F.col("line")
     return (lines.where(line.rlike(LINE_FAILED))
             .select(F.lower(F.regexp_extract(line, LINE_FAILED, 1)).alias("method"),
-                    F.regexp_extract(line, LINE_FAILED, 2).cast("int").alias("cores"))
-            .distinct())
+                    F.regexp_extract(line, LINE_FAILED, 2).try_cast("int").alias("cores"))
+            .where(F.col("cores").isNotNull()).distinct())
 
 
 def timed_flags(timing: DataFrame, failed: DataFrame) -> DataFrame:
@@ -187,32 +206,31 @@ def timed_flags(timing: DataFrame, failed: DataFrame) -> DataFrame:
             .withColumn("failed", F.coalesce(F.col("_f"), F.lit(False))).drop("_f"))
 
 
-# The heading printed before the top-10 table, and the columns
-# assumed when the table has no header line.
+# Fixed value: the heading printed before the top-10 table.
 TOP10_HEADING = "Top 10 most similar protein pairs:"
-TOP10_DEFAULT_HEADER = ["mouse_id", "fish_id", "jaccard"]
 
 
 def scraped_top10(files: DataFrame) -> DataFrame:
     """The rows of the ASCII table printed after the top-10 heading of each run output.
 
-    ``filename, row_no, left_id, right_id, score``: the table's three cells,
-    ids as text and the score as double; border lines (``+---``) and the
-    header line are skipped, ``row_no`` counts data rows from 1.
+    ``path, filename, row_no, left_id, right_id, score`` and the run's
+    ``real_time, user_time, sys_time``: the table's three cells, ids as text
+    and the score as double (null if malformed).  Only lines with ``|`` are
+    rows, up to the first line after the table that is neither a row nor a
+    border; the header line is skipped; ``row_no`` counts a file's rows from 1.
     """
-    block = F.regexp_extract(F.col("content"), "(?s)" + TOP10_HEADING + r"\n([+\-\w\s.|:]+)", 1)
-    lines = files.select(file_name(F.col("path")).alias("filename"),
-                         F.posexplode(F.split(block, "\n")).alias("pos", "line"))
-    rows = lines.where(~F.col("line").startswith("+") & (F.trim("line") != ""))
-    cells = F.split(F.col("line"), r"\|")
-    rows = rows.select("filename", "pos", F.transform(F.slice(cells, 2, F.size(cells) - 2), lambda c: F.trim(c))
-                       .alias("c"))
-    first = rows.groupBy("filename").agg(F.min("pos").alias("_first"))
-    rows = rows.join(first, "filename")
-    is_header = (F.col("pos") == F.col("_first")) & F.exists("c", lambda x: ~x.rlike(r"^[-+0-9.eE]*$")
-                                                            & x.rlike(r"[A-Za-z_]{2,}"))
-    data = rows.where(~is_header)
-    from pyspark.sql import Window
-    w = Window.partitionBy("filename").orderBy("pos")
-    return data.select("filename", F.row_number().over(w).alias("row_no"), F.col("c")[0].alias("left_id"),
-                       F.col("c")[1].alias("right_id"), F.col("c")[2].cast("double").alias("score"))
+    content = F.col("content")
+    after = F.regexp_extract(content, "(?s)" + re.escape(TOP10_HEADING) + r"[ \t]*\r?\n(.*)$", 1)
+    table = F.regexp_extract(after, r"^((?:[ \t]*(?:[+|][^\n]*)?\r?(?:\n|$))*)", 1)
+    times = [duration_seconds(content, p).alias(n) for n, p in
+             (("real_time", TIME_REAL), ("user_time", TIME_USER), ("sys_time", TIME_SYS))]
+    # A table is ten lines and its borders: it stays one array per file.
+    rows = files.select("path", *times, F.filter(F.split(table, "\n"), lambda x: F.trim(x).startswith("|")).alias("lines"))
+    cells = F.transform("lines", lambda x: F.transform(F.split(F.btrim(x, F.lit("| \t\r")), r"\|"), lambda c: F.trim(c)))
+    is_header = F.exists(F.get("cells", F.lit(0)), lambda x: ~x.rlike(r"^[-+0-9.eE]*$") & x.rlike(r"[A-Za-z_]{2,}")
+                         ) & F.get(F.get("cells", F.lit(0)), F.lit(2)).try_cast("double").isNull()
+    data = rows.withColumn("cells", cells).select("path", "real_time", "user_time", "sys_time", F.posexplode(
+        F.when(is_header, F.slice("cells", F.lit(2), F.greatest(F.size("cells"), F.lit(1)))).otherwise(F.col("cells"))).alias("pos", "c"))
+    return data.where(F.size("c") >= 3).select(
+        "path", file_name(F.col("path")).alias("filename"), (F.col("pos") + 1).alias("row_no"), F.col("c")[0].alias("left_id"),
+        F.col("c")[1].alias("right_id"), F.col("c")[2].try_cast("double").alias("score"), "real_time", "user_time", "sys_time")

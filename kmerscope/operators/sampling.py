@@ -47,10 +47,23 @@ def sample_exact_n(df: DataFrame, n: int, id_col: str, seed: int = 42, check: bo
     return df.orderBy(sample_key(id_col, seed), F.col(id_col)).limit(n)
 
 
+def sample_status(df: DataFrame, n: int, dataset_col: str) -> DataFrame:
+    """``dataset, n_rows, status`` for every dataset: ``ok``, or ``short`` when it has fewer than n rows."""
+    return (df.groupBy(F.col(dataset_col).alias("dataset")).agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumn("status", F.when(F.col("n_rows") < n, "short").otherwise("ok")))
+
+
 def sample_per_dataset(df: DataFrame, n: int, id_col: str, dataset_col: str, seed: int = 42,
-                       check: bool = True) -> DataFrame:
-    """n rows of every dataset in one job (replaces one job per dataset folder)."""
-    if check:
+                       check: bool = True, skip_short: bool = False) -> DataFrame:
+    """n rows of every dataset in one job (replaces one job per dataset folder).
+
+    ``skip_short`` leaves out the datasets that ``sample_status`` calls short;
+    ``check`` raises for them.
+    """
+    if skip_short:
+        short = sample_status(df, n, dataset_col).where(F.col("status") == "short").select(F.col("dataset").alias("_short"))
+        df = df.join(short, F.col(dataset_col).eqNullSafe(F.col("_short")), "left_anti")
+    elif check:
         check_sample_size(df, n, dataset_col)
     w = Window.partitionBy(dataset_col).orderBy(sample_key(id_col, seed), F.col(id_col))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.kmers import with_kmers
 from ..operators import collection as C
 from ..operators import runlogs as R
 from ..operators.lsh import minhash_join
 from ..operators.pairs import length_filtered_jaccard
-from ..operators.sampling import check_sample_size, random_limit, sample_per_dataset
+from ..operators.sampling import random_limit, sample_per_dataset
 from ..operators.threshold import threshold_join
 from ..operators.topk import pair_order, top_k_pairs
 from ..sources import sinks
@@ -25,11 +24,14 @@ from ..sources.sequences import read_datasets, read_sequences
 
 def sampling_job(spark: SparkSession, input_root: str, out_root: str, n: int = 100, seed: int = 42,
                  batch_ts: str | None = None, save: bool = True) -> DataFrame:
-    """N rows of every dataset folder under ``input_root``, as one new batch under ``out_root``."""
+    """N rows of every dataset folder under ``input_root``, as one new batch under ``out_root``.
+
+    A dataset of fewer than n rows is left out, as the reference fails it
+    alone; ``sampling.sample_status`` lists every dataset with its fate.
+    """
     df = read_datasets(spark, input_root)
-    check_sample_size(df, n, "dataset")
     id_col = "name" if "name" in df.columns else df.columns[0]
-    sample = sample_per_dataset(df, n, id_col, "dataset", seed, check=False)
+    sample = sample_per_dataset(df, n, id_col, "dataset", seed, skip_short=True)
     if save:
         sinks.write_samples(sample, out_root, sinks.run_timestamp(batch_ts))
     return sample
@@ -85,19 +87,21 @@ def minhash_job(spark: SparkSession, left_path: str, right_path: str, out_root:
 
 
 def runlog_report(spark: SparkSession, runs_dir: str, batch_log_dir: str | None = None,
-                  methods: list[str] | None = None, out_dir: str | None = None) -> dict[str, DataFrame]:
-    """C4: timing, summary, pivot, speed-up, configuration and failure tables from run logs."""
+                  methods: list[str] | None = None, out_dir: str | None = None,
+                  batch_log_glob: str = "*") -> dict[str, DataFrame]:
+    """C4: timing, summary, top-10, pivot, speed-up, configuration and failure tables from run logs."""
     files = read_log_files(spark, runs_dir, "*_benchmark_*cores.out")
     timing = R.run_timing(files)
-    out = {"run_timing": timing, "run_summary": R.run_summary(timing), "rejects": R.run_timing_rejects(files)}
+    out = {"run_timing": R.by_method_and_cores(timing), "run_summary": R.by_method_and_cores(R.run_summary(timing)),
+           "rejects": R.run_timing_rejects(files), "scraped_top10": R.scraped_top10(files)}
     if methods:
         out["run_pivot"] = R.run_pivot(timing, methods)
         if len(methods) == 2:
             out["run_speedup"] = R.run_speedup(timing, *methods)
     if batch_log_dir:
-        lines = read_log_lines(spark, batch_log_dir, "OMICS-multi-benchmark-p-*")
+        lines = read_log_lines(spark, batch_log_dir, batch_log_glob)
         failed = R.failed_runs(lines)
-        out.update({"run_config": R.run_config(lines), "run_config_mb": R.run_config_mb(lines),
+        out.update({"run_config": R.by_method_and_cores(R.run_config(lines)), "run_config_mb": R.run_config_mb(lines),
                     "failed_runs": failed, "timed_flags": R.timed_flags(timing, failed)})
     if out_dir:
         for name, df in out.items():
@@ -120,7 +124,3 @@ def method_comparison(exact: DataFrame, lsh: DataFrame) -> DataFrame:
     return j.agg(F.count_if(F.col("e").isNotNull()).alias("n_exact"), F.count_if(F.col("l").isNotNull()).alias("n_lsh"),
                  F.count_if(F.col("e").isNotNull() & F.col("l").isNotNull()).alias("n_both"))
 
-
-def kmer_table(items: DataFrame, k: int = 3) -> DataFrame:
-    """The reference's k-mer stage output: items with their k-mer set as strings."""
-    return with_kmers(items, "seq", "kmers", k, distinct=True, encoding="string")

@@ -18,7 +18,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """``name, description, sequence`` per record."""
     raw = spark.read.option("lineSep", "\n>").text(path)
     rec = F.regexp_replace(F.col("value"), r"^>", "")
-    header = F.regexp_extract(rec, r"^([^\n]*)", 1)
+    header = F.regexp_extract(rec, r"^([^\r\n]*)", 1)
     body = F.regexp_replace(F.regexp_replace(rec, r"^[^\n]*\n?", ""), r"[\r\n]", "")
     name = F.regexp_extract(header, r"^\s*(\S*)", 1)
     desc = F.trim(F.regexp_replace(header, r"^\s*\S*", ""))

@@ -8,7 +8,7 @@ parsing works after the rows are spread over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -29,4 +29,17 @@ def to_lines(files: DataFrame) -> DataFrame:
 
 
 def read_log_lines(spark: SparkSession, directory: str, glob: str = "*", recursive: bool = False) -> DataFrame:
-    return to_lines(read_log_files(spark, directory, glob, recursive))
+    """``path, line_no, line`` by a splittable scan: a large log is read by many tasks.
+
+    ``line_no`` ascends with the line's place in its file (the byte at which its
+    split starts, plus its number in the split), it is not dense over splits.
+    """
+    r = spark.read.option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", True)
+    raw = r.text(directory).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("seen"), F.regexp_replace("value", "\r$", "").alias("line"))
+    # A window holds one split's lines (spark.sql.files.maxPartitionBytes).
+    nth = F.row_number().over(Window.partitionBy("path", "at").orderBy("seen"))
+    return raw.select("path", (F.col("at") + nth - 1).cast("bigint").alias("line_no"), "line")

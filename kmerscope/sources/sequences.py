@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,30 +20,30 @@ def read_sequences(spark: SparkSession, path: str, id_col: str = "name", seq_col
 
 
 def read_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """Every Parquet file below ``root`` with ``dataset`` = its first-level folder name.
+    """Every ``*.parquet`` file below ``root`` with ``dataset`` = its first-level folder name.
 
     Replaces one job per folder: one scan, the dataset derived from the file
-    path.  Files directly in ``root`` get the dataset ''.
+    path.  Folders without Parquet files are skipped; datasets may have columns
+    of their own (null in the others).  Files directly in ``root`` get the
+    dataset ''.
     """
-    df = spark.read.option("recursiveFileLookup", True).parquet(root)
-    rel = F.regexp_replace(F.col("_metadata.file_path"), r"^.*?" + _escape(root.rstrip("/")) + "/", "")
+    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+          .option("mergeSchema", True).parquet(root))
+    base = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*(?=/))?", "", root.rstrip("/")) + "/"
+    # File paths are URIs: decoded before they are compared ('+' stands for itself there).
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    rel = F.substr(path, F.locate(base, path) + F.lit(len(base)))
     ds = F.when(rel.contains("/"), F.regexp_extract(rel, r"^([^/]+)/", 1)).otherwise(F.lit(""))
     return df.withColumn("dataset", ds)
 
 
-def _escape(s: str) -> str:
-    import re
-    return re.escape(s.replace("file://", ""))
-
-
 def latest_batch(samples: DataFrame, batch_col: str = "batch_ts") -> DataFrame:
     """Rows of the newest batch (``batch_ts`` strings ``yyyyMMdd_HHmmss`` sort by time).
 
     On a table partitioned by ``batch_ts`` the scalar subquery becomes a
     partition filter, so older batches are not read.
     """
-    newest = samples.agg(F.max(batch_col).alias("_newest"))
-    return samples.join(F.broadcast(newest), F.col(batch_col) == F.col("_newest")).drop("_newest")
+    return samples.where(F.col(batch_col) == samples.select(F.max(batch_col)).scalar())
 
 
 def pick_sides(samples: DataFrame, left: str, right: str, dataset_col: str = "dataset") -> tuple[DataFrame, DataFrame]:

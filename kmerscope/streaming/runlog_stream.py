@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import runlogs as R
-from ..session import scratch_path
 
 
 def run_files_stream(spark: SparkSession, runs_dir: str, glob: str = "*_benchmark_*cores.out",
@@ -24,12 +23,19 @@ def run_files_stream(spark: SparkSession, runs_dir: str, glob: str = "*_benchmar
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
-def start_run_timing(spark: SparkSession, runs_dir: str, out_path: str, checkpoint: str | None = None,
+def start_run_timing(spark: SparkSession, runs_dir: str, out_path: str, checkpoint: str,
                      available_now: bool = True) -> StreamingQuery:
-    """Append every usable run's timing (and every rejected file, flagged) to a Parquet table."""
+    """Append every usable run's timing (and every rejected file, flagged) to a Parquet table.
+
+    ``checkpoint`` belongs to ``out_path``: every run on the same table must
+    name the same folder, shared by the cluster, or its files are numbered anew
+    and taken for batches that the table already has.
+    """
+    if not checkpoint:
+        raise ValueError("a checkpoint folder that stays with out_path is required")
     parsed = R.run_timing_all(run_files_stream(spark, runs_dir))
     w = (parsed.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "runlog-stream-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

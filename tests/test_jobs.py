@@ -49,7 +49,7 @@ def test_runlog_report(spark):
     for m, c, r in [("jaccard", 2, "0m4.000s"), ("minhash", 2, "0m2.000s")]:
         with open(os.path.join(d, f"{m}_benchmark_{c}cores.out"), "w") as f:
             f.write(f"real\t{r}\nuser\t0m4.000s\nsys\t0m1.000s\n")
-    with open(os.path.join(d, "OMICS-multi-benchmark-p-1.out"), "w") as f:
+    with open(os.path.join(d, "sweep-1.out"), "w") as f:
         f.write("Benchmarking: minhash analysis\n==========\nSpark configuration for 2 cores:\n"
                 "  Partitions: 6\n✗ minhash benchmark with 2 cores failed!\n")
     out = jobs.runlog_report(spark, d, d, methods=["jaccard", "minhash"])

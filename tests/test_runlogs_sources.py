@@ -48,7 +48,7 @@ def test_run_timing_from_files(spark):
 
 def test_batch_log_config_and_failures(spark):
     d = tempfile.mkdtemp()
-    _write(d, "OMICS-multi-benchmark-p-1.out", BATCH_LOG)
+    _write(d, "sweep-1.out", BATCH_LOG)
     lines = read_log_lines(spark, d)
     cfg = R.run_config(lines, chunk=3).collect()
     assert [(r.method, r.cores, r.partitions, r.driver_memory, r.executor_memory, r.max_result_size)
