@@ -10,7 +10,7 @@ threshold.  Work is cut down step by step, and no step loses a link:
 3. The remaining sets are partitioned into groups by their smallest shared
    shingle, large groups further into blocks of bounded size.  The token-group
    matrix says which block's union of shingles holds which shingle; blocks can
-   only link if they share one of their sets' rarest shingles.
+   only link if sets of a like size share one of their rarest shingles.
 4. For each such pair of blocks, a set's overlap with the other block's union
    bounds its overlap with every set in it; only sets that reach the needed
    overlap are opened, and their exact overlaps are computed together.
@@ -27,6 +27,8 @@ only null ids has a null id.  Shingles are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -131,10 +133,9 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, shingle: int, percen
 class _Block:
     """Sets of one block, as one array of shingles with each one's set."""
 
-    def __init__(self, members: list[dict]):
-        sets = [np.frombuffer(m["set"], np.uint64) for m in members]
-        self.uid = np.array([m["uid"] for m in members], np.int64)
-        self.copies = np.array([m["copies"] for m in members], np.int64)
+    def __init__(self, members: pa.Table):
+        sets = [np.frombuffer(x, np.uint64) for x in members["set"].to_pylist()]
+        self.uid, self.copies = members["uid"].to_numpy(), members["copies"].to_numpy()
         self.n = np.array([len(s) for s in sets], np.int64)
         every = np.concatenate(sets)
         order = np.argsort(every, kind="stable")
@@ -186,7 +187,7 @@ def _forest(link: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-VISIT_BYTES = 4 << 20
+VISITING_SHINGLES = 1 << 18
 _FOUND = pa.schema([("uid", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
 
 
@@ -204,28 +205,26 @@ def _open(percent: int):
             links.append(n[n > 0].astype(np.int64))
         return pa.table({"uid": np.concatenate(u), "other": np.concatenate(v), "links": np.concatenate(links)}, _FOUND)
 
-    def run(homes: pa.Table, visits: pa.Table) -> pa.Table:
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("guest", "ascending"), ("uid", "ascending")])
+        n = len(table) - pc.sum(pc.cast(table["guest"], pa.int32())).as_py()
         out = [_FOUND.empty_table()]
-        if not len(homes):
+        if not n:
             return out[0]
-        home = _Block(homes["pack"][0].as_py())
-        if homes["part"][0].as_py() == 0 and len(home.uid) > 1:
+        home = _Block(table.slice(0, n))
+        if table["part"][0].as_py() == 0 and n > 1:
             link = _linked(home, home, percent)
             np.fill_diagonal(link, False)
             out.append(rows(home.uid, link, [(home.uid, link @ home.copies)]))
-        waiting = []
-        for k, pack in enumerate(visits["guest"]):
-            waiting += pack.as_py()
-            if len(waiting) >= BLOCK_SETS or k == len(visits) - 1:
-                guests = _Block(waiting)
-                waiting = []
-                link = _linked(home, guests, percent)
-                if link.any():
-                    uid, n = np.concatenate([home.uid, guests.uid]), len(home.uid)
-                    whole = np.zeros((len(uid), len(uid)), bool)
-                    whole[:n, n:] = link
-                    whole |= whole.T
-                    out.append(rows(uid, whole, [(home.uid, link @ guests.copies), (guests.uid, link.T @ home.copies)]))
+        for a in range(n, len(table), BLOCK_SETS):
+            guests = _Block(table.slice(a, BLOCK_SETS))
+            link = _linked(home, guests, percent)
+            if link.any():
+                uid = np.concatenate([home.uid, guests.uid])
+                whole = np.zeros((len(uid), len(uid)), bool)
+                whole[:n, n:] = link
+                whole |= whole.T
+                out.append(rows(uid, whole, [(home.uid, link @ guests.copies), (guests.uid, link.T @ home.copies)]))
         return pa.concat_tables(out)
 
     return run
@@ -241,42 +240,42 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
     member = materialise(some.select("uid", *same).join(classes, same, "left").select(
         "uid", F.coalesce("rep", "uid").alias("rep"), F.coalesce("copies", F.lit(1)).cast("long").alias("copies")), "members")
 
-    reps = some.join(member.where(F.col("uid") == F.col("rep")).select("uid", "copies"), "uid")
-    slim = reps.select("uid", "n", "need", "keys", F.array_min("keys").alias("least"))
-    sizes = slim.groupBy("least").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)),
+    reps = (some.select("uid", "n", "need", "keys", F.array_min("keys").alias("least"))
+            .join(member.where(F.col("uid") == F.col("rep")).select("uid", "copies"), "uid"))
+    sizes = reps.groupBy("least").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)),
                                                  F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).alias("parts"))
     block = F.xxhash64("least", F.pmod(F.xxhash64("uid"), F.col("parts")))
-    placed = materialise(slim.join(sizes, "least").select("uid", "need", "keys", block.alias("block")), "blocks")
+    placed = materialise(reps.join(sizes, "least").select("uid", "n", "need", "copies", "keys", block.alias("block")), "blocks")
 
     # The token-group matrix, and how many blocks have each shingle.
     matrix = placed.select("block", F.explode("keys").alias("key")).distinct()
     spread = matrix.groupBy("key").agg(F.count(F.lit(1)).alias("blocks"))
-    rarest = (placed.select("uid", "block", "need", F.explode("keys").alias("key")).join(spread, "key")
-              .groupBy("uid", "block", "need").agg(F.sort_array(F.collect_list(F.struct("blocks", "key"))).alias("k")))
-    index = (rarest.select("block", F.explode(F.slice("k", F.lit(1), F.size("k") - F.col("need") + 1)).alias("k"))
-             .where(F.col("k.blocks") > 1).select("block", F.col("k.key").alias("key")).distinct())
-    other = index.select(F.col("block").alias("second"), "key")
-    pairs = (index.withColumnRenamed("block", "first").join(other, "key").where(F.col("first") < F.col("second"))
+    rarest = (placed.select("uid", "block", "need", "n", F.explode("keys").alias("key")).join(spread, "key")
+              .groupBy("uid", "block", "need", "n").agg(F.sort_array(F.collect_list(F.struct("blocks", "key"))).alias("k")))
+    # Sizes of linked sets are in the same band or in neighbouring ones.
+    width = math.log(100 / percent) * (1 + 1e-9)
+    band = F.floor(F.log("n") / F.lit(width)) if width else F.col("n")
+    index = (rarest.select("block", band.alias("band"), F.explode(F.slice("k", F.lit(1), F.size("k") - F.col("need") + 1)).alias("k"))
+             .where(F.col("k.blocks") > 1).select("block", "band", F.col("k.key").alias("key")).distinct())
+    near = index.select(F.col("block").alias("second"), "key", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")).distinct()
+    pairs = (index.withColumnRenamed("block", "first").join(near, ["key", "band"]).where(F.col("first") < F.col("second"))
              .select("first", "second").distinct())
 
-    packs = (reps.select("uid", "copies", "set").join(placed.select("uid", "block"), "uid")
-             .groupBy("block").agg(F.collect_list(F.struct("uid", "copies", "set")).alias("pack"), F.sum(F.length("set")).alias("bytes")))
-    packs = materialise(packs, "packs")
     # Of two blocks the smaller one's sets visit the larger; a block with many visitors opens in several parts.
-    weight = packs.select("block", "bytes")
-    w1 = weight.select(F.col("block").alias("first"), F.struct("bytes", F.col("block").alias("b")).alias("x"))
-    w2 = weight.select(F.col("block").alias("second"), F.struct("bytes", F.col("block").alias("b")).alias("y"))
-    visits = pairs.join(w1, "first").join(w2, "second").select(
-        F.greatest("x", "y")["b"].alias("home"), F.least("x", "y")["b"].alias("visitor"), F.least("x", "y")["bytes"].alias("bytes"))
-    visits = materialise(visits, "visits")
-    parts = visits.groupBy("home").agg(F.ceil(F.sum("bytes") / F.lit(VISIT_BYTES)).cast("int").alias("parts"))
-    parts = materialise(parts, "parts")
-    guests = (visits.join(parts, "home").join(packs.select(F.col("block").alias("visitor"), F.col("pack").alias("guest")), "visitor")
-              .select(F.col("home").alias("to"), F.pmod(F.xxhash64("visitor"), F.col("parts")).cast("int").alias("to_part"), "guest"))
-    homes = packs.select(F.col("block").alias("home"), "pack").join(parts, "home", "left").where(
-        F.col("parts").isNotNull() | (F.size("pack") > 1))
-    homes = homes.select("home", "pack", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-    found = materialise(homes.select("home", "part", "pack").groupBy("home", "part").cogroup(guests.groupBy("to", "to_part"))
+    weight = placed.groupBy("block").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sets"), F.min("n").alias("low"), F.max("n").alias("high"))
+    w1 = weight.select(F.col("block").alias("first"), F.struct("n", F.col("block").alias("b"), "low", "high").alias("x"))
+    w2 = weight.select(F.col("block").alias("second"), F.struct("n", F.col("block").alias("b"), "low", "high").alias("y"))
+    sizes_fit = (100 * F.col("x.high") >= percent * F.col("y.low")) & (100 * F.col("y.high") >= percent * F.col("x.low"))
+    visits = materialise(pairs.join(w1, "first").join(w2, "second").where(sizes_fit).select(
+        F.greatest("x", "y")["b"].alias("home"), F.least("x", "y")["b"].alias("block"), F.least("x", "y")["n"].alias("n")), "visits")
+    parts = materialise(visits.groupBy("home").agg(F.ceil(F.sum("n") / F.lit(VISITING_SHINGLES)).cast("int").alias("parts")), "parts")
+    guests = visits.join(parts, "home").select("block", "home", F.pmod(F.xxhash64("block"), F.col("parts")).cast("int").alias("part"),
+                                               F.lit(True).alias("guest"))
+    homes = (weight.join(parts, F.col("block") == F.col("home"), "left").where(F.col("parts").isNotNull() | (F.col("sets") > 1))
+             .select("block", F.col("block").alias("home"), F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"),
+                     F.lit(False).alias("guest")))
+    going = placed.select("uid", "copies", "block").join(homes.unionByName(guests), "block").drop("block")
+    found = materialise(going.join(some.select("uid", "set"), "uid").groupBy("home", "part")
                         .applyInArrow(_open(percent), "uid long, other long, links long"), "links")
 
     label = components(found.where(F.col("other") >= 0).select(F.col("uid").alias("a"), F.col("other").alias("b")))
