@@ -10,7 +10,7 @@ A collection is a DataFrame with
 
 Two collections compared left x right get ``_g`` = "0" / "1"; one table compared
 across its own datasets (every row of one dataset with every row of each other
-dataset, each unordered pair once) gets ``_g`` = dataset.
+dataset, each unordered pair once) gets a ``_g`` that sorts as the dataset, nulls last.
 """
 
 from __future__ import annotations
@@ -34,22 +34,10 @@ def from_table(df: DataFrame, id_col: str = "name", seq_col: str = "sequence",
     _require(df, [id_col, seq_col] + ([dataset_col] if dataset_col else []))
     ds = F.col(dataset_col).cast("string") if dataset_col else F.lit(dataset or "dataset")
     out = df.select(ds.alias("dataset"), F.col(id_col).alias("id"), F.col(seq_col).alias("seq"))
-    g = F.col("dataset") if group is None else F.lit(group)
-    out = out.select(g.alias("_g"), "dataset", "id", "seq", F.length("seq").cast("int").alias("length"))
-    return ensure_parallelism(out)
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    k-mer work is CPU-heavy per row; a small input stored as one file (one
-    row group) would otherwise run in a single task.  A large input already
-    has many splits and is left alone (no extra shuffle).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    # A null dataset is a dataset of its own, after all others ('-' sorts after '+').
+    own = F.when(F.col("dataset").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("dataset")))
+    g = own if group is None else F.lit(group)
+    return out.select(g.alias("_g"), "dataset", "id", "seq", F.length("seq").cast("int").alias("length"))
 
 
 def two_sides(left: DataFrame, right: DataFrame, id_col: str = "name", seq_col: str = "sequence",
@@ -69,6 +57,3 @@ def with_tokens(items: DataFrame, k: int = 3, encoding: str = "code") -> DataFra
     enc = encoding if (encoding != "code" or k <= 3) else "string"
     out = with_kmers(items, "seq", "tokens", k=k, distinct=True, encoding=enc)
     return out.withColumn("n_tokens", F.size("tokens"))
-
-
-PAIR_KEY = ["left_dataset", "left_id", "right_dataset", "right_id"]

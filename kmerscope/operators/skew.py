@@ -1,14 +1,14 @@
-"""Skew-safe self equi-join: hot keys are spread over a g x g grid of tasks.
+"""Skew-safe equi-join: hot keys are spread over a g x g grid of tasks.
 
 For a key held by ``c`` rows, the pairs under that key are inherently
 ``O(c**2)`` work.  A plain shuffle join puts all of it in one task; when one
 key holds a third of the table that task never ends.  Here each key gets a
-grid size ``g = ceil(c / cell_rows)`` (capped): the "row" side of a pair picks
-its grid row by a hash of its id and is copied to every grid column, the
-"column" side does the converse, and the join key becomes
-``(key, grid_row, grid_col)``.  Every pair meets in exactly one cell, each cell
-holds at most ~``cell_rows`` rows per side, and cold keys (g = 1) are not
-copied at all.
+grid size ``g = ceil(c / cell_rows)``: the "row" side of a pair picks its grid
+row by a hash of its id and is copied to every grid column, the "column" side
+does the converse, and the join key becomes ``(key, grid_row, grid_col)``.
+Every pair meets in exactly one cell, each cell holds about ``cell_rows`` rows
+per side whatever the key's size, and cold keys (g = 1) are not copied at all.
+Callers collapse equal rows first, so that a key counts distinct ones.
 """
 
 from __future__ import annotations
@@ -17,12 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_CELL_ROWS = 20000
-DEFAULT_MAX_GRID = 64
 
 
-def grid_size(count: Column, cell_rows: int = DEFAULT_CELL_ROWS, max_grid: int = DEFAULT_MAX_GRID) -> Column:
+def grid_size(count: Column, cell_rows: int = DEFAULT_CELL_ROWS) -> Column:
     """Grid side for a key held by ``count`` rows."""
-    return F.least(F.lit(max_grid), F.greatest(F.lit(1), F.ceil(count / F.lit(cell_rows)))).cast("int")
+    return F.greatest(F.lit(1), F.ceil(count / F.lit(cell_rows))).cast("int")
 
 
 def grid_self_join(rows: DataFrame, cols: DataFrame, keys: list[str], grid_col: str,

@@ -1,16 +1,20 @@
-"""Exact Jaccard threshold join by prefix filtering (no cross product).
+"""Exact Jaccard threshold join by prefix filtering over distinct sets (no cross product).
 
-If ``J(A, B) >= t`` then ``|A n B| >= ceil(t * max(|A|, |B|))``, and under any
+Rows with equal token sets are collapsed first: the join works on distinct
+sets, each standing for its members, and only its result is expanded.  If
+``J(A, B) >= t`` then ``|A n B| >= ceil(t * max(|A|, |B|))``, and under any
 fixed global token order the first ``|A| - ceil(t|A|) + 1`` tokens of A and the
 first ``|B| - ceil(t|B|) + 1`` tokens of B share at least one token (the
 prefix-filter lemma of the AllPairs / PPJoin papers).  So:
 
-1. document frequency per token (one aggregate with map-side combine);
-2. per row, tokens sorted by (frequency, token); keep the prefix.  Rare tokens
-   come first, so a common token enters a prefix only for rows made almost
+1. document frequency per token over distinct sets (one aggregate with map-side
+   combine);
+2. per set, tokens sorted by (frequency, token); keep the prefix.  Rare tokens
+   come first, so a common token enters a prefix only for sets made almost
    entirely of common tokens;
-3. equi-join prefix tokens (hot tokens spread over a grid of tasks), apply the
-   size filter ``t * max <= min``, keep each pair once;
+3. equi-join the prefixes on token and size band (sets of similar size only;
+   hot tokens spread over a grid of tasks), the smaller set against the larger,
+   each pair once, and only sets with members of different groups;
 4. verify each candidate with the exact Jaccard of the full sets.
 
 The result is exact for every ``t > 0``: no pair above the threshold is lost,
@@ -20,44 +24,52 @@ prefixes approach the whole set.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_values
 from ..functions.similarity import jaccard, length_ratio_ok
 from .pairs import orient
-from .skew import DEFAULT_CELL_ROWS, DEFAULT_MAX_GRID, grid_self_join, grid_size, prefixed
+from .skew import DEFAULT_CELL_ROWS, grid_self_join, grid_size, prefixed
 
 EPS = 1e-9
-# Vocabulary rows up to which the token -> frequency table is broadcast.  Past
-# it, the join is a shuffle join whose hot keys AQE's skew handling splits.
-BROADCAST_VOCAB_ROWS = 4_000_000
 
 
-def token_frequencies(items: DataFrame) -> DataFrame:
-    """``tok, df``: number of rows whose set holds the token."""
-    return (items.select(explode_values("tokens", "tok"))
-            .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+def set_id(tokens: Column) -> Column:
+    """128-bit key of a token set, whatever its order."""
+    return F.md5(F.concat_ws(",", F.sort_array(tokens).cast("array<string>")).cast("binary"))
+
 
+def with_set_id(items: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """Items with ``sid``, the key of their token set."""
+    return items.withColumn("sid", set_id(F.col(tokens)))
 
-def ordered_tokens(items: DataFrame, vocab: DataFrame | None = None,
-                   broadcast_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """Items with ``ord``: their tokens as ``struct(df, tok)`` sorted rarest first.
 
-    Rows without tokens are left out (they match nothing).
+def distinct_sets(items: DataFrame, tokens: str = "tokens", by: tuple = ()) -> DataFrame:
+    """``sid, *by, tokens, n`` and ``g_lo, g_hi`` (least and greatest group of its members) per distinct set.
+
+    Empty sets are left out (they match nothing), after the aggregate: a filter
+    before it would be pushed into the lambdas that make the tokens.
     """
-    if vocab is None:
-        vocab = token_frequencies(items)
-    n_vocab = vocab.count()
-    v = F.broadcast(vocab) if n_vocab <= broadcast_rows else vocab
-    key = ["_g", "id"]
-    # dataset and length depend on the key; carrying them through the aggregate
-    # avoids a join back, and the output stays hash-partitioned by the key.
-    exploded = items.select(*key, "dataset", "length", explode_values("tokens", "tok"))
-    return (exploded.join(v, "tok")
-            .groupBy(*key).agg(F.first("dataset").alias("dataset"), F.first("length").alias("length"),
-                               F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
+    sets = items.groupBy("sid", *by).agg(
+        F.first(tokens).alias("tokens"), F.min("_g").alias("g_lo"), F.max("_g").alias("g_hi"))
+    return sets.withColumn("n", F.size("tokens")).where(F.col("n") > 0)
+
+
+def token_frequencies(sets: DataFrame) -> DataFrame:
+    """``tok, df``: number of sets that hold the token."""
+    return (sets.select(explode_values("tokens", "tok"))
+            .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+
+
+def ordered_tokens(sets: DataFrame) -> DataFrame:
+    """Sets with ``ord``: their tokens as ``struct(df, tok)`` sorted rarest first."""
+    exploded = sets.select("sid", "g_lo", "g_hi", explode_values("tokens", "tok"))
+    return (exploded.join(token_frequencies(sets), "tok")
+            .groupBy("sid", "g_lo", "g_hi").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
 
 
 def min_overlap(n, t: float):
@@ -73,9 +85,14 @@ def prefix_length(n, t: float, m: int = 1):
     return F.least(n, n - min_overlap(n, t) + m)
 
 
-def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = None, m: int = 3,
-                    cell_rows: int = DEFAULT_CELL_ROWS, max_grid: int = DEFAULT_MAX_GRID) -> DataFrame:
-    """Distinct ``(a__g, a_id, b__g, b_id)`` with ``a._g < b._g`` sharing enough prefix tokens.
+def size_band(n: Column, t: float) -> Column:
+    """Sets with ``J >= t`` have sizes in equal or adjacent bands."""
+    width = -math.log(t) * (1 + EPS)
+    return F.floor(F.log(n) / F.lit(width)) if width > EPS else n.cast("bigint")
+
+
+def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
+    """Distinct ``(a_sid, b_sid)`` sharing enough prefix tokens, a being the smaller set.
 
     Extended prefix: if ``|A n B| = c >= alpha_A = ceil(t|A|)``, the first m
     shared tokens (in the global order) lie within the first
@@ -92,20 +109,20 @@ def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = N
     cannot reach ``J >= t`` and are dropped before verification.
     """
     n = F.size("ord")
-    pre = (ordered.where(n > 0)
-           .select("_g", "id", "length", n.alias("n"),
-                   F.posexplode(F.slice("ord", 1, prefix_length(n, t, m).cast("int"))).alias("pos", "p"))
-           .select("_g", "id", "length", "n", "pos", F.col("p.tok").alias("_key"),
-                   grid_size(F.col("p.df"), cell_rows, max_grid).alias("_grid")))
-    a = prefixed(pre, "a_", ["_key", "_grid"])
-    b = prefixed(pre, "b_", ["_key", "_grid"])
-    j = grid_self_join(a, b, ["_key"], "_grid", ["a__g", "a_id"], ["b__g", "b_id"])
-    big = F.greatest("a_n", "b_n")
-    small = F.least("a_n", "b_n")
-    cond = (F.col("a__g") < F.col("b__g")) & (small >= big * F.lit(t) - F.lit(EPS))
-    if max_len_diff is not None:
-        cond = cond & length_ratio_ok(F.col("a_length"), F.col("b_length"), max_len_diff)
-    pairs = (j.where(cond).groupBy("a__g", "a_id", "b__g", "b_id")
+    pre = (ordered.select("sid", "g_lo", "g_hi", n.alias("n"), size_band(n, t).alias("_band"),
+                          F.posexplode(F.slice("ord", 1, prefix_length(n, t, m).cast("int"))).alias("pos", "p"))
+           .where(F.col("p.df") > 1)
+           .select("sid", "g_lo", "g_hi", "n", "_band", "pos", F.col("p.tok").alias("_key"),
+                   grid_size(F.col("p.df"), cell_rows).alias("_grid")))
+    keys = ["_key", "_band"]
+    a = prefixed(pre, "a_", [*keys, "_grid"])
+    b = pre.withColumn("_band", F.explode(F.array(F.col("_band"), F.col("_band") - 1)))
+    b = prefixed(b, "b_", [*keys, "_grid"])
+    j = grid_self_join(a, b, keys, "_grid", ["a_sid"], ["b_sid"])
+    smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_sid") < F.col("b_sid")))
+    groups = F.least("a_g_lo", "b_g_lo") < F.greatest("a_g_hi", "b_g_hi")
+    cond = smaller & groups & (F.col("a_n") >= F.col("b_n") * F.lit(t) - F.lit(EPS))
+    pairs = (j.where(cond).groupBy("a_sid", "b_sid")
              .agg(F.min("a_pos").alias("i"), F.min("b_pos").alias("j"), F.max("a_pos").alias("il"),
                   F.max("b_pos").alias("jl"), F.first("a_n").alias("na"), F.first("b_n").alias("nb"),
                   F.count(F.lit(1)).alias("shared")))
@@ -113,36 +130,54 @@ def candidate_pairs(ordered: DataFrame, t: float, max_len_diff: float | None = N
                     F.col("shared") + F.least(F.col("na") - F.col("il") - 1, F.col("nb") - F.col("jl") - 1))
     need = (F.col("na") + F.col("nb")) * F.lit(t / (1 + t)) - F.lit(EPS)
     enough = F.col("shared") >= F.least(F.lit(m), F.greatest(min_overlap(F.col("na"), t), min_overlap(F.col("nb"), t)))
-    return pairs.where((bound >= need) & enough).select("a__g", "a_id", "b__g", "b_id")
+    return pairs.where((bound >= need) & enough).select("a_sid", "b_sid")
 
 
-def prepare(items_with_tokens: DataFrame) -> DataFrame:
-    """Tokens ordered rarest first per item, persisted: reused by every threshold run over the same items.
+def prepare(items_with_tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (``sid, _g, dataset, id, length``) and their distinct sets.
 
-    A lost cached block is recomputed from lineage (scan + tokenize + aggregate).
+    Both are cached lazily, as every step of a join reads them; nothing runs
+    here, a lost block is computed again, and ``unpersist()`` or the session's
+    ``catalog.clearCache()`` frees them.
     """
-    tok = items_with_tokens.select("_g", "dataset", "id", "length", "tokens").persist(StorageLevel.MEMORY_AND_DISK)
-    return ordered_tokens(tok).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = with_set_id(items_with_tokens.select("_g", "dataset", "id", "length", "tokens"))
+    sets = distinct_sets(keyed).persist(StorageLevel.MEMORY_AND_DISK)
+    return keyed.drop("tokens").persist(StorageLevel.MEMORY_AND_DISK), sets
+
+
+def set_pairs(sets: DataFrame, t: float, strict: bool = True, **grid) -> DataFrame:
+    """``a_sid, b_sid, jaccard`` of distinct sets above the threshold, equal sets of several groups included."""
+    cand = candidate_pairs(ordered_tokens(sets), t, **grid)
+    full = sets.select("sid", "tokens")
+    v = cand.join(prefixed(full, "a_", []), "a_sid").join(prefixed(full, "b_", []), "b_sid")
+    v = v.select("a_sid", "b_sid", jaccard("a_tokens", "b_tokens").alias("jaccard"))
+    v = v.where(F.col("jaccard") > F.lit(t)) if strict else v.where(F.col("jaccard") >= F.lit(t))
+    if strict and t >= 1:
+        return v
+    same = sets.where(F.col("g_lo") < F.col("g_hi")).select(F.col("sid").alias("a_sid"), F.col("sid").alias("b_sid"),
+                                                            F.lit(1.0).alias("jaccard"))
+    return v.unionByName(same)
+
+
+def expand(pairs: DataFrame, members: DataFrame, score: str) -> DataFrame:
+    """Pairs of sets -> pairs of their members in different groups, ``left`` being of the lesser group."""
+    m = members.select("sid", "_g", "dataset", "id", "length")
+    j = pairs.join(prefixed(m, "a_", []), "a_sid").join(prefixed(m, "b_", []), "b_sid")
+    one_way = F.when(F.col("a_sid") == F.col("b_sid"), F.col("a__g") < F.col("b__g")).otherwise(F.col("a__g") != F.col("b__g"))
+    return orient(j.where(one_way), ["dataset", "id", "length"], [F.col(score)])
 
 
 def threshold_join(items_with_tokens: DataFrame, t: float = 0.9, strict: bool = True,
-                   max_len_diff: float | None = None, ordered: DataFrame | None = None, **grid) -> DataFrame:
+                   max_len_diff: float | None = None, **grid) -> DataFrame:
     """All pairs (a._g < b._g) with Jaccard > t (``strict``) or >= t, exactly.
 
     Output: ``left_dataset, left_id, left_length, right_dataset, right_id,
-    right_length, jaccard``.  ``ordered`` may be passed from ``prepare`` to
-    reuse it across thresholds.
+    right_length, jaccard``.  Rows that share an id stay rows of their own.
     """
     if not 0 < t <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    if ordered is None:
-        ordered = prepare(items_with_tokens)
-    cand = candidate_pairs(ordered, t, max_len_diff, **grid)
-    full = ordered.select("_g", "dataset", "id", "length",
-                          F.transform("ord", lambda s: s["tok"]).alias("tokens"))
-    a = prefixed(full, "a_", [])
-    b = prefixed(full, "b_", [])
-    v = cand.join(a, ["a__g", "a_id"]).join(b, ["b__g", "b_id"])
-    v = v.withColumn("jaccard", jaccard("a_tokens", "b_tokens"))
-    v = v.where(F.col("jaccard") > F.lit(t)) if strict else v.where(F.col("jaccard") >= F.lit(t))
-    return orient(v, ["dataset", "id", "length"], [F.col("jaccard")])
+    members, sets = prepare(items_with_tokens)
+    out = expand(set_pairs(sets, t, strict, **grid), members, "jaccard")
+    if max_len_diff is not None:
+        out = out.where(length_ratio_ok(F.col("left_length"), F.col("right_length"), max_len_diff))
+    return out

@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 from ..operators import collection as C
 from ..operators import runlogs as R
 from ..operators.lsh import minhash_join
-from ..operators.pairs import length_filtered_jaccard
 from ..operators.sampling import random_limit, sample_per_dataset
 from ..operators.threshold import threshold_join
-from ..operators.topk import pair_order, top_k_pairs
+from ..operators.topk import top_k_pairs
 from ..sources import sinks
 from ..sources.fasta import read_fasta
 from ..sources.runlogs import read_log_files, read_log_lines
 from ..sources.sequences import read_datasets, read_sequences
 
+DEFAULT_THRESHOLD = 0.5
+
 
 def sampling_job(spark: SparkSession, input_root: str, out_root: str, n: int = 100, seed: int = 42,
                  batch_ts: str | None = None, save: bool = True) -> DataFrame:
@@ -43,9 +44,8 @@ def exact_job(spark: SparkSession, left_path: str, right_path: str, out_root: st
               top_n: int = 10, seed: int = 42) -> dict[str, DataFrame]:
     """Exact k-mer Jaccard between two sequence datasets.
 
-    ``length_filter`` scores every pair within the length band; otherwise
-    ``threshold`` (if given) returns every pair above it.  The top ``top_n``
-    is always exact.  ``limit_n`` is the reference's ``--limit-100`` (seeded).
+    ``results`` are all pairs of similarity ``threshold`` (0.5) or more, within
+    the length filter if asked for.  The top ``top_n`` is always exact.  ``limit_n`` is the reference's ``--limit-100`` (seeded).
     """
     left, right = read_sequences(spark, left_path), read_sequences(spark, right_path)
     if limit_n:
@@ -53,16 +53,14 @@ def exact_job(spark: SparkSession, left_path: str, right_path: str, out_root: st
     items = C.with_tokens(C.two_sides(left, right))
     out: dict[str, DataFrame] = {}
     if length_filter:
-        out["results"] = length_filtered_jaccard(items, max_len_diff)
-        out["top"] = out["results"].orderBy(*pair_order()).limit(top_n)
+        out["results"] = threshold_join(items, threshold or DEFAULT_THRESHOLD, strict=False, max_len_diff=max_len_diff)
+        out["top"] = top_k_pairs(items, top_n, max_len_diff=max_len_diff)
     else:
-        if threshold is not None:
-            out["results"] = threshold_join(items, threshold)
+        out["results"] = threshold_join(items, threshold or DEFAULT_THRESHOLD, strict=False)
         out["top"] = top_k_pairs(items, top_n)
     if save and out_root:
         layout = sinks.output_layout(out_root, sinks.run_timestamp(run_ts), "jaccard")
-        if "results" in out:
-            sinks.write_results(out["results"], layout["results"])
+        sinks.write_results(out["results"], layout["results"])
         sinks.write_top_csv(out["top"], layout["top"], ["left_id", "right_id", "jaccard"])
         sinks.snapshot_inputs({"left_sample": left, "right_sample": right}, layout["inputs"])
     return out

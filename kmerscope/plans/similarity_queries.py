@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import explode_values
+from ..functions.arrays import let, run_lengths
 from ..functions.hashing import MERSENNE_31, MINHASH_PRIME, POLY_BASE, minhash_coefficients
 from ..functions.kmers import with_kmers
 from ..functions.similarity import length_bucket, similarity_band
-from ..operators.lsh import hashed_features, hashed_tf, minhash_join, minhash_ml_join, signatures
-from ..operators.pairs import length_band_pairs, length_filtered_jaccard
+from ..operators import collection as C
+from ..operators.lsh import hashed_features, hashed_tf, minhash_join, signatures
+from ..operators.pairs import length_band_counts
 from ..operators.threshold import threshold_join
-from ..operators.topk import best_matches, top_k_pairs
+from ..operators.topk import best_matches, pair_order, top_k_pairs
 from .tables import doc_items, doc_tokens, documents, table
 
 PAIR_COLS = ["left_dataset", "left_id", "left_length", "right_dataset", "right_id", "right_length"]
@@ -32,6 +33,9 @@ TOP_K = 10
 NUM_TABLES = 12
 BUCKET = 100
 NUM_FEATURES = 1 << 14
+BANDED = (6, 3)          # bands, rows per band
+WIDE_BUCKET = 100_000    # of length: items and documents meet
+TWO_TABLE_THRESHOLD = 0.3
 
 
 # ---------------------------------------------------------------- queries
@@ -44,17 +48,20 @@ def q_kmer_set_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_kmer_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = with_kmers(doc_items(spark, sf_dir), "seq", "bag", K, distinct=False, encoding="string")
-    per_doc = (items.select("dataset", "id", explode_values("bag", "kmer"))
-               .groupBy("dataset", "id", "kmer").agg(F.count(F.lit(1)).alias("n")))
+    # A document's k-mers are all in its own task: counted there, then one aggregate over the vocabulary.
+    runs = F.transform(let(F.sort_array("bag"), run_lengths), lambda x: F.struct(x["v"].alias("kmer"), x["n"].alias("n")))
+    per_doc = items.select(F.inline(runs))
     return per_doc.groupBy("kmer").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("occurrences"))
 
 
 def q_length_band_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return length_band_pairs(doc_items(spark, sf_dir), MAX_LEN_DIFF).select(*PAIR_COLS)
+    """How many pairs pass the length filter, per pair of datasets (the pairs themselves are quadratic)."""
+    return length_band_counts(doc_items(spark, sf_dir), MAX_LEN_DIFF)
 
 
 def q_jaccard_length_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return length_filtered_jaccard(doc_tokens(spark, sf_dir), MAX_LEN_DIFF).select(*PAIR_COLS, "jaccard")
+    """Length-filtered pairs of similarity 0.5 and more (all of a length band would be quadratic)."""
+    return threshold_join(doc_tokens(spark, sf_dir), BEST_THRESHOLD, strict=False, max_len_diff=MAX_LEN_DIFF).select(*PAIR_COLS, "jaccard")
 
 
 def q_jaccard_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +85,57 @@ def q_best_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similarity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = length_filtered_jaccard(doc_tokens(spark, sf_dir), MAX_LEN_DIFF)
+    """Numbers of length-filtered pairs per similarity band, for the bands from 0.5 up."""
+    scored = q_jaccard_length_filtered(spark, sf_dir)
     return scored.groupBy(similarity_band("jaccard").alias("band")).agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
+def q_top10_len_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_pairs(doc_tokens(spark, sf_dir), TOP_K, max_len_diff=MAX_LEN_DIFF).select(
+        "left_dataset", "left_id", "right_dataset", "right_id", "jaccard")
+
+
+def q_minhash_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = q_minhash_bucketed(spark, sf_dir)
+    return res.orderBy(*pair_order("minhash_similarity")).limit(TOP_K).select(
+        "left_dataset", "left_id", "right_dataset", "right_id", "minhash_similarity")
+
+
+def two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items (left) against documents (right), as token sets."""
+    left = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("name"), F.col("text").alias("sequence"))
+    right = documents(spark, sf_dir).select(F.col("doc_id").alias("name"), F.col("text").alias("sequence"))
+    return C.with_tokens(C.two_sides(left, right, left_name="benchmark", right_name="documents"))
+
+
+def q_two_table_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_join(two_tables(spark, sf_dir), TWO_TABLE_THRESHOLD).select(*PAIR_COLS, "jaccard")
+
+
+def q_two_table_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_pairs(two_tables(spark, sf_dir), TOP_K).select(
+        "left_dataset", "left_id", "right_dataset", "right_id", "jaccard")
+
+
+def q_two_table_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join(two_tables(spark, sf_dir), 1 - TWO_TABLE_THRESHOLD, BANDED[0], BANDED[1], WIDE_BUCKET).select(
+        *PAIR_COLS, "minhash_similarity")
+
+
+def q_minhash_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bands of several rows: candidates agree in all of a band's hashes."""
+    return minhash_join(doc_tokens(spark, sf_dir), 1 - BEST_THRESHOLD, *BANDED, BUCKET).select(
+        *PAIR_COLS, "minhash_similarity")
+
+
+def q_top10_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' names against parts' brands, which share no 3-mer: the best ten score 0."""
+    left = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("name"), F.col("s_name").alias("sequence"))
+    right = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("name"), F.regexp_replace("p_brand", "[0-9]", "").alias("sequence"))
+    items = C.with_tokens(C.two_sides(left, right, left_name="supplier", right_name="part"))
+    return top_k_pairs(items, TOP_K).select("left_dataset", "left_id", "right_dataset", "right_id", "jaccard")
+
+
 def q_hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = with_kmers(doc_items(spark, sf_dir), "seq", "kmers", K, distinct=False, encoding="code")
     return hashed_tf(items, K, NUM_FEATURES).select(F.col("id").alias("doc_id"), "feature", "tf")
@@ -109,12 +163,6 @@ def q_minhash_neighbour_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *PAIR_COLS, "minhash_similarity")
 
 
-def q_minhash_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = with_kmers(doc_items(spark, sf_dir), "seq", "kmers", K, distinct=False, encoding="string")
-    return minhash_ml_join(items, 1 - THRESHOLD, NUM_TABLES, BUCKET, NUM_FEATURES).select(
-        "left_dataset", "left_id", "right_dataset", "right_id", "minhash_similarity")
-
-
 def q_method_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many exact pairs above the threshold the bucketed LSH join recovers."""
     toks = doc_tokens(spark, sf_dir)
@@ -173,7 +221,13 @@ QUERIES = {
     "minhash_bucketed": q_minhash_bucketed,
     "minhash_len_filtered": q_minhash_len_filtered,
     "minhash_neighbour_buckets": q_minhash_neighbour_buckets,
-    "minhash_ml": q_minhash_ml,
+    "minhash_banded": q_minhash_banded,
+    "minhash_top10": q_minhash_top10,
+    "top10_len_filtered": q_top10_len_filtered,
+    "top10_disjoint": q_top10_disjoint,
+    "two_table_jaccard": q_two_table_jaccard,
+    "two_table_top10": q_two_table_top10,
+    "two_table_minhash": q_two_table_minhash,
     "method_recall": q_method_recall,
     "union_results": q_union_results,
 }
@@ -237,6 +291,32 @@ def _lsh_sql(len_filter: bool = False, neighbours: int = 0) -> str:
     return f"SELECT * FROM ({inner}) WHERE minhash_similarity > {THRESHOLD}"
 
 
+def _length_filtered_sql() -> str:
+    inner = _inverted_sql(_SETS_N, _size_cond(BEST_THRESHOLD) + f" AND {_LEN_OK}", "jaccard")
+    return f"SELECT * FROM ({inner}) WHERE jaccard >= {BEST_THRESHOLD}"
+
+
+_TWO_DOCS = """SELECT 'benchmark' AS dataset, item_id AS id, length(text) AS len, string_split(text, '') AS cs FROM benchmark
+UNION ALL SELECT 'documents', doc_id, length(text), string_split(text, '') FROM documents"""
+_TWO_SETS_N = _SETS_N.replace(_DOCS, _TWO_DOCS)
+_TWO_FEATS = _FEATS.replace(_DOCS, _TWO_DOCS).replace(f"len // {BUCKET} AS bucket", f"len // {WIDE_BUCKET} AS bucket")
+
+
+def _banded_sql(feats: str, t: float) -> str:
+    """Pairs of one bucket that agree in all hashes of some band, above the threshold: the bands are modelled."""
+    bands, rows = BANDED
+    mins = ", ".join(f"list_min(list_transform(s, lambda f: ((f + 1) * {a} + {b}) % {MINHASH_PRIME}))"
+                     for a, b in minhash_coefficients(bands * rows))
+    return f"""WITH k AS (SELECT *, len(s) AS n, [{mins}] AS sig FROM ({feats}) WHERE len(s) > 0),
+e AS (SELECT dataset, id, bucket, unnest(range(0, {bands})) AS band, unnest([sig[i * {rows} + 1:(i + 1) * {rows}] for i in range(0, {bands})]) AS key FROM k),
+c AS (SELECT DISTINCT a.dataset AS ad, a.id AS aid, b.dataset AS bd, b.id AS bid
+      FROM e a JOIN e b ON a.bucket = b.bucket AND a.band = b.band AND a.key = b.key AND a.dataset < b.dataset)
+SELECT * FROM (
+  SELECT {_PAIR_SELECT}, {_J} / (a.n + b.n - {_J}) AS minhash_similarity
+  FROM c JOIN k a ON a.dataset = ad AND a.id = aid JOIN k b ON b.dataset = bd AND b.id = bid)
+WHERE minhash_similarity > {t}"""
+
+
 def _minhash_sig_sql() -> str:
     mins = ", ".join(f"list_min(list_transform(s, lambda f: ((f + 1) * {a} + {b}) % {MINHASH_PRIME}))"
                      for a, b in minhash_coefficients(NUM_TABLES))
@@ -261,10 +341,9 @@ FROM documents GROUP BY 1, 2""",
     "bucket_intersect": f"""SELECT length(text) // {BUCKET} AS len_bucket FROM benchmark
 INTERSECT SELECT length(text) // {BUCKET} AS len_bucket FROM documents""",
     "length_band_pairs": f"""WITH k AS (SELECT source AS dataset, doc_id AS id, length(text) AS len FROM documents)
-SELECT {_PAIR_SELECT} FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK}""",
-    "jaccard_length_filtered": f"""WITH k AS ({_SETS_N})
-SELECT {_PAIR_SELECT}, {_JACCARD} AS jaccard
-FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK}""",
+SELECT a.dataset AS left_dataset, b.dataset AS right_dataset, count(*)::BIGINT AS n_pairs
+FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK} GROUP BY 1, 2""",
+    "jaccard_length_filtered": _length_filtered_sql(),
     "jaccard_threshold": _threshold_sql(THRESHOLD),
     "jaccard_threshold_len_filtered": _threshold_sql(THRESHOLD, True),
     "top10_pairs": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
@@ -279,11 +358,28 @@ SELECT * FROM (
   SELECT dataset, id, (row_number() OVER (PARTITION BY dataset, id
          ORDER BY jaccard DESC, partner_id, partner_dataset))::INTEGER AS rank, partner_dataset, partner_id, jaccard
   FROM both_dirs) WHERE rank <= {BEST_K}""",
-    "similarity_bands": f"""WITH k AS ({_SETS_N}),
-p AS (SELECT {_JACCARD} AS j FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN_OK})
-SELECT CASE WHEN j >= 1.0 THEN 'identical' WHEN j >= 0.5 THEN 'high' WHEN j >= 0.1 THEN 'moderate'
-            WHEN j > 0.0 THEN 'low' ELSE 'none' END AS band, count(*) AS n_pairs
-FROM p GROUP BY 1""",
+    "similarity_bands": f"""SELECT CASE WHEN jaccard >= 1.0 THEN 'identical' ELSE 'high' END AS band, count(*) AS n_pairs
+FROM ({_length_filtered_sql()}) GROUP BY 1""",
+    "top10_len_filtered": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
+FROM ({_inverted_sql(_SETS_N, f" AND {_LEN_OK}", "jaccard")})
+ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
+    "minhash_top10": f"""SELECT left_dataset, left_id, right_dataset, right_id, minhash_similarity FROM ({_lsh_sql()})
+ORDER BY minhash_similarity DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
+    "minhash_banded": _banded_sql(_FEATS, BEST_THRESHOLD),
+    "two_table_jaccard": f"SELECT * FROM ({_inverted_sql(_TWO_SETS_N, _size_cond(TWO_TABLE_THRESHOLD), 'jaccard')}) WHERE jaccard > {TWO_TABLE_THRESHOLD}",
+    "two_table_top10": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
+FROM ({_inverted_sql(_TWO_SETS_N, "", "jaccard")})
+ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
+    "two_table_minhash": _banded_sql(_TWO_FEATS, TWO_TABLE_THRESHOLD),
+    "top10_disjoint": f"""WITH p AS (
+  SELECT s_suppkey AS left_id, p_partkey AS right_id,
+         list_distinct([substr(s_name, i, 3) for i in range(1, length(s_name) - 1)]) AS a,
+         list_distinct([substr(b, i, 3) for i in range(1, length(b) - 1)]) AS b
+  FROM supplier,
+       (SELECT p_partkey, regexp_replace(p_brand, '[0-9]', '', 'g') AS b FROM part) t)
+SELECT 'supplier' AS left_dataset, left_id, 'part' AS right_dataset, right_id,
+       len(list_intersect(a, b)) / greatest(len(a) + len(b) - len(list_intersect(a, b)), 1)::DOUBLE AS jaccard
+FROM p ORDER BY jaccard DESC, left_id, right_id LIMIT {TOP_K}""",
     "hashed_tf": f"""WITH f AS (SELECT id, unnest(list_transform(range(1, len - 1), lambda i: {_feature_sql('cs', 'i')})) AS feature
   FROM ({_DOCS}) WHERE len >= 3)
 SELECT id AS doc_id, feature, count(*) AS tf FROM f GROUP BY id, feature""",

@@ -14,7 +14,7 @@ import pytest
 def test_minhash_join_equals_exact_on_hashed_sets(spark):
     rows = _fixture()
     items = _items(spark, rows)
-    feats = {(r["_g"], r["id"]): (set(r["features"]), r["len_bucket"]) for r in hashed_features(items).collect()}
+    feats = {(r["dataset"], r["id"]): (set(r["features"]), r["len_bucket"]) for r in hashed_features(items).collect()}
     expect = set()
     for (ga, ia), (fa, ba) in feats.items():
         for (gb, ib), (fb, bb) in feats.items():
@@ -62,7 +62,7 @@ def test_sample_size_errors(spark):
 def test_minhash_join_adjacent_buckets(spark):
     rows = _fixture()
     items = _items(spark, rows)
-    feats = {(r["_g"], r["id"]): (set(r["features"]), r["len_bucket"])
+    feats = {(r["dataset"], r["id"]): (set(r["features"]), r["len_bucket"])
              for r in hashed_features(items, bucket_width=10).collect()}
     expect = set()
     for (ga, ia), (fa, ba) in feats.items():

@@ -1,12 +1,14 @@
 """Band join, threshold join, top-k and LSH against brute force on small fixtures."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from kmerscope.operators import collection as C
-from kmerscope.operators.pairs import length_band_pairs, length_filtered_jaccard
-from kmerscope.operators.threshold import threshold_join
+from kmerscope.operators.pairs import length_band_counts, length_band_pairs
+from kmerscope.operators.lsh import minhash_join
+from kmerscope.operators.threshold import prepare, threshold_join
 from kmerscope.operators.topk import best_matches, top_k_pairs
 
 
@@ -57,25 +59,75 @@ def test_band_join_equals_filtered_pairs(spark):
     rows = _fixture()
     brute = {k for k, (la, lb, _) in _brute(rows).items() if la and lb and abs(la - lb) / max(la, lb) <= 0.1}
     items = _items(spark, rows)
-    for grid in ({}, {"cell_rows": 3, "max_grid": 4}):
+    for grid in ({}, {"cell_rows": 3}):
         got = {_key(r) for r in length_band_pairs(items, 0.1, **grid).collect()}
         assert got == brute
 
 
-def test_length_filtered_jaccard_scores(spark):
+def test_length_band_counts(spark):
     rows = _fixture()
-    brute = {k: j for k, (la, lb, j) in _brute(rows).items() if la and lb and abs(la - lb) / max(la, lb) <= 0.1}
-    got = {_key(r): r["jaccard"] for r in length_filtered_jaccard(_items(spark, rows)).collect()}
+    brute = Counter((k[0], k[2]) for k, (la, lb, _) in _brute(rows).items() if la and lb and abs(la - lb) / max(la, lb) <= 0.1)
+    got = {(r.left_dataset, r.right_dataset): r.n_pairs for r in length_band_counts(_items(spark, rows)).collect()}
+    assert got == dict(brute)
+
+
+def test_length_filtered_threshold(spark):
+    rows = _fixture()
+    brute = {k: j for k, (la, lb, j) in _brute(rows).items() if j >= 0.4 and abs(la - lb) / max(la, lb) <= 0.1}
+    got = {_key(r): r["jaccard"] for r in threshold_join(_items(spark, rows), 0.4, strict=False, max_len_diff=0.1).collect()}
     assert got == brute
 
 
+def test_rows_of_one_id_stay_apart(spark):
+    left = spark.createDataFrame([("p", "ABCDEFGH"), ("p", "zzzzz"), ("q", None)], "name string, sequence string")
+    right = spark.createDataFrame([("x", "ABCDEFGH")], "name string, sequence string")
+    got = threshold_join(C.with_tokens(C.two_sides(left, right)), 0.9).collect()
+    assert [(r.left_id, r.right_id, r.jaccard) for r in got] == [("p", "x", 1.0)]
+
+
+def test_null_dataset_is_a_dataset(spark):
+    df = spark.createDataFrame([(1, "ABCDEFGH", None), (2, "ABCDEFGH", "a"), (3, "ABCDEFGH", None)], "i long, t string, d string")
+    items = C.with_tokens(C.across_datasets(df, "i", "t", "d"))
+    got = {(r.left_dataset, r.left_id, r.right_dataset, r.right_id) for r in threshold_join(items, 0.9).collect()}
+    assert got == {("a", 2, None, 1), ("a", 2, None, 3)}
+    assert minhash_join(items).count() == 2
+
+
+def test_a_third_of_all_rows_equal(spark):
+    """Equal sets meet once, whatever their number: candidates do not grow with the copies."""
+    rows = [(i, "the same text again and again", f"d{i % 2}") for i in range(200)] + [
+        (1000 + i, f"text number {i} of its own {i * i}", f"d{i % 2}") for i in range(400)]
+    items = C.with_tokens(C.across_datasets(spark.createDataFrame(rows, "i long, t string, d string"), "i", "t", "d"))
+    _, sets = prepare(items)
+    assert sets.count() == 401
+    hot = [r for r in threshold_join(items, 0.95).collect() if r.left_id < 1000 and r.right_id < 1000]
+    assert len(hot) == 100 * 100
+
+
+def test_top_k_fills_up_with_zero_pairs(spark):
+    left = spark.createDataFrame([(i, "ABCDE") for i in range(1, 4)], "name long, sequence string")
+    right = spark.createDataFrame([(7, "ABCXX"), (5, "zzzzz"), (6, None)], "name long, sequence string")
+    got = top_k_pairs(C.with_tokens(C.two_sides(left, right)), 7).collect()
+    assert [(r.left_id, r.right_id) for r in got] == [(1, 7), (2, 7), (3, 7), (1, 5), (1, 6), (2, 5), (2, 6)]
+    assert [r.jaccard for r in got] == [0.2] * 3 + [0.0] * 4
+
+
+def test_building_a_join_starts_no_job(spark):
+    items = _items(spark, _fixture(20))
+    spark.sparkContext.setJobGroup("building", "no job while a query is built")
+    threshold_join(items, 0.9)
+    minhash_join(items)
+    best_matches(threshold_join(items, 0.5), 2)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+
+
 def test_threshold_join_exact(spark):
     rows = _fixture()
     brute = _brute(rows)
     items = _items(spark, rows)
     for t in (0.3, 0.6, 0.9):
         expect = {k: j for k, (_, _, j) in brute.items() if j > t}
-        got = {_key(r): r["jaccard"] for r in threshold_join(items, t, cell_rows=2, max_grid=3).collect()}
+        got = {_key(r): r["jaccard"] for r in threshold_join(items, t, cell_rows=2).collect()}
         assert got == expect, t
 
 
