@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 1 << 20
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _RANDOM = np.random.default_rng(20)
@@ -98,7 +98,7 @@ class Words:
 def words(texts: Texts, lower: bool = False) -> Words:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text; ``lower`` lower-cases A-Z first."""
     table = _LOWER_BYTES if lower else _BYTES
-    space = _SPACE[texts.data]
+    space = SPACE[texts.data]
     found, begun, ended = [], [], []
     for at, end in _blocks(space, texts.offsets):
         word = ~space[at:end]
