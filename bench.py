@@ -14,10 +14,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "top10_pairs",                     # exact Jaccard, global top 10 (jaccard.py)
+    "top10_pairs",                     # exact Jaccard, global top 10
     "jaccard_threshold",               # exact Jaccard > 0.9, all pairs
     "jaccard_threshold_len_filtered",  # the same with --length-filter
-    "minhash_bucketed",                # MinHash LSH per length bucket (minhash.py)
+    "minhash_bucketed",                # MinHash LSH per length bucket
     "minhash_len_filtered",            # the same with --length-filter
     "length_band_pairs",               # length-filtered pair generation
     "sample_per_dataset",              # multi-dataset sampling

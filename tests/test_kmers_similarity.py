@@ -51,7 +51,7 @@ LENGTH_CASES = [(20, 26, False), (20, 15, False), (20, 18, True), (20, 22, True)
                 (100, 111, True), (100, 89, False), (100, 112, False), (0, 0, False)]
 
 
-def test_length_filter_table(spark):
+def test_ratio_filter_table(spark):
     df = spark.createDataFrame([(a, b) for a, b, _ in LENGTH_CASES], "a int, b int")
     got = [r[0] for r in df.select(length_ratio_ok("a", "b", 0.1)).collect()]
     assert got == [keep for _, _, keep in LENGTH_CASES]
