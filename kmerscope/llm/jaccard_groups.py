@@ -3,9 +3,10 @@
 Documents link when the Jaccard similarity of their shingle sets reaches a
 threshold.  Work is cut down step by step, and no step loses a link:
 
-1. Sets of documents are made in chunks.  Of each set the smallest hashes (about
-   twice the share that a linked set may lack) are compared with the other
-   chunks': a document of which too few occur anywhere else links with nothing.
+1. Sets of documents are made in chunks, and chunks learn which of their shingles
+   occur in any other document.  A document of which too few do links with
+   nothing.  Of the others the smallest hashes (the share that a linked set may
+   lack, and a tenth of the set) stand for the set until blocks are opened.
 2. Equal sets are collapsed into one, which stands for all its documents.
 3. The remaining sets are partitioned into groups by their smallest shared
    shingle, large groups further into blocks of bounded size.  The token-group
@@ -84,11 +85,11 @@ def _smallest(s: np.ndarray, percent: int) -> np.ndarray:
     return s[:len(s) - _least_overlap(len(s), percent) + _extra(len(s))]
 
 
-def _shared(sets: list[np.ndarray], percent: int, n_buckets: int, masks: pa.Table | None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct smallest hashes of a chunk's sets, and which of them two sets have."""
-    every = [_smallest(s, percent) for s in sets if len(s)]
-    unique, counts = np.unique(np.concatenate(every) if every else np.zeros(0, np.uint64), return_counts=True)
-    return unique, (counts > 1) | told(unique, n_buckets, masks) if masks is not None else counts > 1
+def _distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of a chunk's sets, how many sets have each, and where each set's hashes are among them."""
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    unique, back, counts = np.unique(every, return_inverse=True, return_counts=True)
+    return unique, counts, back
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
@@ -97,22 +98,24 @@ def _documents(docs: DataFrame, id_col: str, text_col: str, shingle: int, percen
     ``keys``: the smallest hashes that another set has too, with ``need``, how many of them a linked set shares.
     """
     chunks = chunked(docs, id_col, text_col, [id_col])
-    n_buckets = chunks.buckets(1 / 50)
+    n_buckets = chunks.buckets(1 / 6)
 
     def send(table: pa.Table) -> pa.Table:
-        return key_table(table["chunk"][0].as_py(), _shared(_sets(table, shingle)[1], percent, n_buckets, None)[0], n_buckets, exact=False)
+        return key_table(table["chunk"][0].as_py(), _distinct(_sets(table, shingle)[1])[0], n_buckets, exact=False)
 
     def judge(table: pa.Table, masks: pa.Table) -> pa.Table:
         table, sets = _sets(table, shingle)
-        unique, again = _shared(sets, percent, n_buckets, masks)
-        shared = unique[again]
-        keys, need = [], []
+        unique, counts, back = _distinct(sets)
+        elsewhere = ((counts > 1) | told(unique, n_buckets, masks))[back]
+        keys, need, at = [], [], 0
         for s in sets:
+            again = elsewhere[at:at + len(s)]
+            at += len(s)
             low = _smallest(s, percent)
-            hit = low[np.isin(low, shared, assume_unique=True)] if len(low) else low
-            least = _extra(_least_overlap(len(s), percent))
-            need.append(least)
-            keys.append(hit.view(np.int64) if len(s) and len(hit) >= least else None)
+            hit = low[again[:len(low)]]
+            need.append(_extra(_least_overlap(len(s), percent)))
+            may_link = len(s) and again.sum() >= _least_overlap(len(s), percent) and len(hit) >= need[-1]
+            keys.append(hit.view(np.int64) if may_link else None)
         n = len(sets)
         first = (table["chunk"][0].as_py() << 32) if n else 0
         return pa.table({
