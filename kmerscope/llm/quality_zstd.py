@@ -30,13 +30,19 @@ LEVEL = 3
 
 
 @dataclass
-class CompressionModel:
-    """Two dictionaries and the calibration; ``weights`` is None where a constant ``prior`` is all that is known."""
+class Judge:
+    """Two dictionaries, and the calibration of their sizes' difference."""
     good: bytes
     bad: bytes
-    mean: np.ndarray | None
-    scale: np.ndarray | None
-    weights: np.ndarray | None
+    mean: np.ndarray
+    scale: np.ndarray
+    weights: np.ndarray
+
+
+@dataclass
+class CompressionModel:
+    """Judges whose probabilities are averaged; without any, all that is known is the share of label 1."""
+    judges: list[Judge]
     prior: float
 
 
@@ -94,23 +100,27 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     """Build the dictionaries and the calibration from a bounded sample of labelled texts.
 
     The sample (``per_class`` texts of each class, each of at most
-    ``max_bytes``) is all that comes to the driver; half of it makes the
-    dictionaries, the other half the calibration.
+    ``max_bytes``) is all that comes to the driver.  Each half of it makes the
+    dictionaries of one judge and the calibration of the other, so no judge is
+    calibrated on texts that its dictionaries hold.
     """
     sample = labelled_sample(docs, labels, label_col, learn, id_col, text_col, per_class, max_bytes)
     rows = sorted(sample.rows.collect(), key=lambda r: r["id"]) if sample.both_classes else []
     texts = {(k, half): [r["text"].encode() for r in rows if r["text"] and r["label"] == k and (r["part"] < 0.5) == half]
              for k in (0, 1) for half in (True, False)}
     if not all(texts.values()):
-        return CompressionModel(b"", b"", None, None, None, sample.prior)
-    good, bad = (_dictionary(texts[k, True], dictionary_bytes) for k in (1, 0))
-    sizes = _Sizes(good, bad)
-    held = [(sizes(t), k) for k in (0, 1) for t in texts[k, False]]
-    x, y = _inputs(np.array([s for s, _ in held])), np.array([k for _, k in held])
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    mean[0], scale[0] = 0, 1
-    share = np.where(y == 1, sample.prior, 1 - sample.prior) / np.where(y == 1, y.mean(), 1 - y.mean())
-    return CompressionModel(good, bad, mean, scale, _logistic((x - mean) / scale, y, share), sample.prior)
+        return CompressionModel([], sample.prior)
+    judges = []
+    for half in (True, False):
+        good, bad = (_dictionary(texts[k, half], dictionary_bytes) for k in (1, 0))
+        sizes = _Sizes(good, bad)
+        held = [(sizes(t), k) for k in (0, 1) for t in texts[k, not half]]
+        x, y = _inputs(np.array([s for s, _ in held])), np.array([k for _, k in held])
+        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+        mean[0], scale[0] = 0, 1
+        share = np.where(y == 1, sample.prior, 1 - sample.prior) / np.where(y == 1, y.mean(), 1 - y.mean())
+        judges.append(Judge(good, bad, mean, scale, _logistic((x - mean) / scale, y, share)))
+    return CompressionModel(judges, sample.prior)
 
 
 def scorer(spark: SparkSession, model: CompressionModel):
@@ -120,15 +130,14 @@ def scorer(spark: SparkSession, model: CompressionModel):
     @F.pandas_udf("double")
     def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
-        sizes = _Sizes(m.good, m.bad) if m.weights is not None else None
+        judges = [(j, _Sizes(j.good, j.bad)) for j in m.judges]
         for batch in batches:
-            texts = [t.encode() if t else b"" for t in batch]
-            p = np.full(len(texts), m.prior)
-            if sizes is not None:
-                s = np.array([sizes(t) for t in texts]).reshape(-1, 4)
-                z = (_inputs(s) - m.mean) / m.scale @ m.weights
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            yield pd.Series(np.where([len(t) == 0 for t in texts], 0.0, p), dtype="float64")
+            p = np.zeros(len(batch)) if judges else np.full(len(batch), m.prior)
+            for j, sizes in judges:
+                s = np.array([sizes((t or "").encode()) for t in batch]).reshape(-1, 4)
+                z = (_inputs(s) - j.mean) / j.scale @ j.weights
+                p += 1 / (1 + np.exp(-np.clip(z, -30, 30))) / len(judges)
+            yield pd.Series(np.where([not t for t in batch], 0.0, p), dtype="float64")
 
     return score_texts
 

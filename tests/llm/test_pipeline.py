@@ -1,4 +1,4 @@
-"""The pipeline over the smallest tables: stages' decisions against brute force, columns, clean documents kept."""
+"""The pipeline over small tables: stages' decisions against brute force, columns, clean documents kept."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from kmerscope.llm.common import materialise
 
 from . import brute
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
