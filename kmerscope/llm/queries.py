@@ -205,4 +205,59 @@ SELECT c.conv_id, c.turn, 0 AS sub, c.turn AS place, 0 AS "order", 0 AS lift,
 FROM c LEFT JOIN results r ON c.role = 'user' AND r.conv_id = c.conv_id AND r.id = c.own
        LEFT JOIN calls k ON c.role = 'assistant' AND k.conv_id = c.conv_id AND k.id = c.before"""
 
-ORACLES = {"op4_chat_tools": _OP4, "op3_decontaminate": _OP3, "op8_source_mix": _OP8, "op10_quality_rules": _OP10}
+_OP5 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, rid, CASE WHEN len(w) >= 3 THEN list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])
+                           WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END AS sh FROM d),
+e AS (SELECT rid, len(sh) AS n, unnest(sh) AS x FROM s),
+half AS (
+  SELECT a.rid AS a, b.rid AS b FROM e a JOIN e b ON a.x = b.x AND a.rid < b.rid
+  GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT rid AS a, rid AS b FROM s UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT reach.a AS rid, min(doc_id) AS component_id FROM reach JOIN s ON s.rid = reach.b GROUP BY reach.a)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, (SELECT count(*) FROM links WHERE links.a = s.rid)::BIGINT AS n_links
+FROM s JOIN low USING (rid)"""
+
+_OP6 = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS rid, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, rid, i, substr(h, 2 * i + 1, 200) AS s
+        FROM (SELECT *, unnest(range(0, greatest(len(h) // 2 - 99, 0))) AS i FROM d)),
+later AS (SELECT rid, i FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, rid, i) > 1),
+step AS (SELECT rid, i, coalesce((i > lag(i) OVER w + 100)::INT, 1) AS fresh FROM later WINDOW w AS (PARTITION BY rid ORDER BY i)),
+run AS (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS k FROM step),
+span AS (SELECT rid, k, min(i) AS a, max(i) + 100 AS b FROM run GROUP BY rid, k),
+cut AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM span),
+part AS (
+  SELECT cut.rid, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS tail,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM cut JOIN d USING (rid) GROUP BY cut.rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN part USING (rid)"""
+
+_OP9 = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+win AS (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT *, unnest(range(1, greatest(len(w) - 33, 1))) AS i FROM d)),
+twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY s) > 1),
+gone AS (SELECT DISTINCT rid, i + k AS pos FROM twice, range(35) AS o(k)),
+word AS (SELECT rid, unnest(w) AS x, generate_subscripts(w, 1) AS pos FROM d),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY pos) AS t FROM word ANTI JOIN gone USING (rid, pos) GROUP BY rid),
+n AS (SELECT rid, count(*) AS n_removed FROM gone GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (rid) LEFT JOIN kept USING (rid)"""
+
+ORACLES = {
+    "op3_decontaminate": _OP3,
+    "op4_chat_tools": _OP4,
+    "op5_jaccard_groups": _OP5,
+    "op6_suffix_dedup": _OP6,
+    "op8_source_mix": _OP8,
+    "op9_anchor_dedup": _OP9,
+    "op10_quality_rules": _OP10,
+}
