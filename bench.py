@@ -29,6 +29,7 @@ HEADLINE = [
 def main() -> None:
     from kmerscope.plans import registry
     from kmerscope.session import get_session
+    from kmerscope.sources.sinks import run_noop
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -39,7 +40,7 @@ def main() -> None:
     times = {}
     for name in names:
         t0 = time.time()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        run_noop(qs[name](spark, sf_dir))
         times[name] = round(time.time() - t0, 3)
         print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
         spark.catalog.clearCache()

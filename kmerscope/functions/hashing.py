@@ -58,20 +58,6 @@ def minhash_coefficients(num_hashes: int, seed: int = DEFAULT_SEED) -> list[tupl
     return [(rng.randrange(1, MINHASH_PRIME), rng.randrange(0, MINHASH_PRIME)) for _ in range(num_hashes)]
 
 
-def minhash_signature(features, coefficients: list[tuple[int, int]]) -> Column:
-    """array<bigint>: per permutation, the minimum hashed value over the feature set.
-
-    Null for an empty feature set (such rows cannot be placed by MinHash and are
-    dropped before the LSH join).
-    """
-    f = _col(features)
-    coeffs = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-                       for a, b in coefficients])
-    p = F.lit(MINHASH_PRIME)
-    return F.when(F.size(f) > 0, F.transform(
-        coeffs, lambda c: F.array_min(F.transform(f, lambda x: ((x + 1) * c["a"] + c["b"]) % p))))
-
-
 def band_keys(signature, num_bands: int, rows_per_band: int) -> Column:
     """array<struct<band int, key bigint>>: one bucket key per band of the signature.
 
