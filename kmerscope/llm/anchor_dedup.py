@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .cover import COVERS, sample_places, sample_size, windows_around
-from .exchange import KEYS_SCHEMA, MASKS_SCHEMA, chunked, key_table, no_keys, repeated, told
+from .exchange import KEYS_SCHEMA, chunked, key_table, no_keys, repeated, told
 from .texthash import Texts, Words, covered, word_windows, words
 
 def _anchors(w: Words, window: int, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -20,7 +20,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
