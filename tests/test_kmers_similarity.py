@@ -1,7 +1,5 @@
 """k-mers, Jaccard, length filter and buckets on the hand-made rows of FIXTURES.md."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from kmerscope.functions.kmers import with_kmers

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from kmerscope.functions.hashing import minhash_coefficients
-from kmerscope.operators import collection as C
 from kmerscope.operators.lsh import hashed_features, minhash_join, signatures
 from kmerscope.operators.sampling import check_sample_size, sample_exact_n, sample_per_dataset
 from tests.test_pairs import _fixture, _items, _key

@@ -3,8 +3,6 @@
 import random
 from collections import Counter
 
-from pyspark.sql import functions as F
-
 from kmerscope.operators import collection as C
 from kmerscope.operators.pairs import length_band_counts, length_band_pairs
 from kmerscope.operators.lsh import minhash_join
