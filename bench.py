@@ -28,6 +28,7 @@ HEADLINE = [
 
 def main() -> None:
     from kmerscope.plans import registry
+    from kmerscope.plans.tables import SCAN_PARTITIONS
     from kmerscope.session import get_session
     from kmerscope.sources.sinks import run_noop
 
@@ -35,6 +36,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", app="kmerscope-bench", shuffle_partitions=cpus * 2,
                         extra={"spark.driver.memory": "16g"})
+    spark.conf.set(SCAN_PARTITIONS, str(cpus * 2))  # the table is one file
     names = sys.argv[1:] or HEADLINE
     qs = registry.queries()
     times = {}

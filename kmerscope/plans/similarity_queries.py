@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import let, run_lengths
 from ..functions.hashing import MERSENNE_31, MINHASH_PRIME, POLY_BASE, minhash_coefficients
 from ..functions.kmers import with_kmers
 from ..functions.similarity import length_bucket, similarity_band
@@ -48,10 +47,12 @@ def q_kmer_set_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_kmer_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = with_kmers(doc_items(spark, sf_dir), "seq", "bag", K, distinct=False, encoding="string")
-    # A document's k-mers are all in its own task: counted there, then one aggregate over the vocabulary.
-    runs = F.transform(let(F.sort_array("bag"), run_lengths), lambda x: F.struct(x["v"].alias("kmer"), x["n"].alias("n")))
-    per_doc = items.select(F.inline(runs))
-    return per_doc.groupBy("kmer").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("occurrences"))
+    # One row per occurrence and one per distinct k-mer of a document: a single aggregate over the
+    # vocabulary, combined in each map task, and no shuffle by document.
+    rows = F.concat(F.transform("bag", lambda x: F.struct(x.alias("kmer"), F.lit(0).alias("d"), F.lit(1).alias("n"))),
+                    F.transform(F.array_distinct("bag"), lambda x: F.struct(x.alias("kmer"), F.lit(1).alias("d"), F.lit(0).alias("n"))))
+    return (items.select(F.inline(rows)).groupBy("kmer")
+            .agg(F.sum("d").alias("doc_freq"), F.sum("n").alias("occurrences")))
 
 
 def q_length_band_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,8 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Session setting: spread ``documents`` over so many tasks.  For inputs stored in fewer splits than there are
+#: cores (one small file); left unset, the scan's own splits are used and no text is shuffled.
+SCAN_PARTITIONS = "spark.kmerscope.scanPartitions"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    n = spark.conf.get(SCAN_PARTITIONS, None)
+    df = table(spark, sf_dir, "documents")
+    return df.repartition(int(n)) if n else df
 
 
 def doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
