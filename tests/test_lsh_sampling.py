@@ -1,10 +1,15 @@
 """MinHash LSH, hashed features and sampling."""
 
+import random
+import string
+
 from pyspark.sql import functions as F
 
 from kmerscope.functions.hashing import minhash_coefficients
 from kmerscope.operators.lsh import hashed_features, minhash_join, signatures
 from kmerscope.operators.sampling import check_sample_size, sample_exact_n, sample_per_dataset
+from kmerscope.operators.threshold import threshold_join
+from kmerscope.plans.similarity_queries import BANDED, TWO_TABLE_THRESHOLD, WIDE_BUCKET
 from tests.test_pairs import _fixture, _items, _key
 
 import pytest
@@ -72,3 +77,18 @@ def test_minhash_join_adjacent_buckets(spark):
                     expect.add((ga, ia, gb, ib))
     got = {_key(r) for r in minhash_join(items, 0.1, bucket_width=10, neighbours=1).collect()}
     assert got == expect
+
+
+def test_registered_bands_find_pairs_at_the_lowest_threshold(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        a, b = ("".join(rng.choices(string.ascii_lowercase, k=200)) for _ in range(2))
+        n = rng.randint(96, 110)
+        rows += [("d0", i, a), ("d1", i, a[:n] + b[n:])]
+    items = _items(spark, rows)
+    t = TWO_TABLE_THRESHOLD
+    hashed = hashed_features(items, bucket_width=WIDE_BUCKET).drop("len_bucket").withColumnRenamed("features", "tokens")
+    exact = {_key(r) for r in threshold_join(hashed.withColumn("tokens", F.col("tokens").cast("array<bigint>")), t).collect()}
+    found = {_key(r) for r in minhash_join(items, 1 - t, *BANDED, WIDE_BUCKET).collect()}
+    assert len(exact) > 100 and found <= exact and len(found) >= 0.9 * len(exact)
