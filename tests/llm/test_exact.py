@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections import Counter
 from pathlib import Path
 
@@ -141,6 +143,41 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated(docs, none).count() == 0 and decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+def accepted(toks, item, overlap=13, agree=0.8):
+    """Whether some line-up of an item along a text agrees in enough tokens, tried without seeds."""
+    n = min(overlap, len(item))
+    need = math.ceil(n * agree - 1e-9)
+    for start in range(1 - len(item), len(toks)):
+        same = [0 <= start + j < len(toks) and toks[start + j] == x for j, x in enumerate(item)]
+        if any(sum(same[k:k + n]) >= need for k in range(len(item) - n + 1)):
+            return True
+    return False
+
+
+@pytest.mark.parametrize("n", range(1, 14))
+def test_some_mask_survives_every_accepted_pattern(n):
+    need = math.ceil(n * 0.8 - 1e-9)
+    for gone in itertools.combinations(range(n), n - need):
+        assert any(not {at + o for o in mask} & set(gone) for mask in decontaminate.masks_for(n, 0.8) for at in range(n - mask[-1]))
+
+
+def test_decontaminate_finds_every_accepted_pattern(spark):
+    items, rows = [], []
+    for n in (*range(1, 14), 15):
+        item = [f"i{n}t{j}" for j in range(n)]
+        items.append((n, " ".join(item), "i", "s"))
+        w = min(n, 13)
+        for gone in itertools.combinations(range(n), n - math.ceil(w * 0.8 - 1e-9)):
+            rows.append((n, " ".join(["before", *["no" if j in gone else x for j, x in enumerate(item)], "after"])))
+    texts = {k: (n, t) for k, (n, t) in enumerate(rows)}
+    docs = spark.createDataFrame([(k, t, "s", *["x"] * len(brute.EXTRA)) for k, (_, t) in texts.items()], brute.DOCS)
+    whole = {n: t.split() for n, t, *_ in items}
+    expected = {(k, n) for k, (n, t) in texts.items() if accepted(t.split(), whole[n])}
+    for bound in (500_000, 0):
+        found = decontaminate.contaminated(docs, spark.createDataFrame(items, BENCHMARK), broadcast_seeds=bound)
+        assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
 def test_source_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 1000), ("d", 5), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
