@@ -33,7 +33,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
-    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"), by_row=True)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

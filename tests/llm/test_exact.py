@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from kmerscope.llm import anchor_dedup, cover, decontaminate, jaccard_groups, mixing, rules_cascade, suffix_dedup
 from kmerscope.llm.common import words
 
@@ -178,6 +179,32 @@ def test_decontaminate_finds_every_accepted_pattern(spark):
         assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
 
 
+def test_decontaminate_by_row_keeps_clean_rows_of_a_hit_id(spark):
+    item, clean = " ".join(f"q{j}" for j in range(20)), "nothing of it " * 5
+    rows = [(1, item), (1, clean), (None, item), (None, clean), (None, None), (2, clean), (3, item), (3, item)]
+    docs = spark.createDataFrame([(i, t, "s", *["x"] * len(brute.EXTRA)) for i, t in rows], brute.DOCS)
+    items = spark.createDataFrame([(100, item, "i", "s")], BENCHMARK)
+    for bound in (500_000, 0):
+        kept = decontaminate.decontaminated(docs, items, by_row=True, broadcast_seeds=bound)
+        assert counted(kept.select("doc_id", "text")) == Counter([(1, clean), (None, clean), (None, None), (2, clean)])
+
+
+def test_benchmark_leaks_keeps_clean_rows_of_a_hit_id(spark, tmp_path):
+    item, clean = " ".join(f"q{j}" for j in range(20)), "nothing of it " * 5
+    spark.createDataFrame([(100, item, "i", "s")], BENCHMARK).write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, item), (1, clean), (None, item), (None, clean)], "doc_id long, text string")
+    kept = corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path))
+    assert counted(kept) == Counter([(1, clean), (None, clean)])
+
+
+def test_decontaminate_tells_items_of_one_id_apart(spark):
+    texts = [" ".join(f"{c}{j}" for j in range(20)) for c in "abc"]
+    docs = spark.createDataFrame([(k, t, "s", *["x"] * len(brute.EXTRA)) for k, t in enumerate(texts)], brute.DOCS)
+    items = spark.createDataFrame([(None, texts[0], "i", "s"), (7, texts[1], "i", "s"), (7, texts[2] + " more", "i", "s")], BENCHMARK)
+    got = [counted(decontaminate.contaminated(docs, items, broadcast_seeds=bound)) for bound in (500_000, 0)]
+    assert got[0] == got[1] == Counter([(0, None, 13, 20), (1, 7, 13, 20), (2, 7, 13, 20)])
+
+
 def test_source_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 1000), ("d", 5), (None, 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
