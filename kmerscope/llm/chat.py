@@ -3,7 +3,8 @@
 Messages carry tool calls as JSON: an assistant message may be an object with
 ``tool_calls`` (a list of ``id, name, arguments, after``; ``after`` lists calls
 whose results it needs), a tool message an object with ``tool_call_id`` and
-``content``.  Every call and every other message becomes one line:
+``content``.  Every call and every other message becomes one line, and so do the
+words (``content``) beside calls, as a message before the first of them (``sub`` -1):
 
 1. Results are joined to calls on conversation and identifier.  Of several calls
    of one identifier the earliest is linked, the others are duplicates.
@@ -69,7 +70,7 @@ def validity(name: Column, arguments: Column, schemas: dict[str, dict[str, Param
 
 
 def _lines(messages: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """``conv, turn, sub, role, kind, call_id, name, arguments, after, content`` for every call, result and plain message."""
+    """``conv, turn, sub, role, kind, call_id, name, arguments, after, content`` for every call, result, plain message and words beside calls."""
     m = messages.select(quoted(conv).alias("conv"), quoted(turn).cast("long").alias("turn"), quoted(role).alias("role"),
                         quoted(text).alias("text"))
     m = m.withColumn("json", F.when(F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{"),
@@ -78,15 +79,20 @@ def _lines(messages: DataFrame, conv: str, turn: str, role: str, text: str) -> D
     is_call = (F.col("role") == "assistant") & calls
     is_result = (F.col("role") == "tool") & F.col("json.tool_call_id").isNotNull()
     m = m.withColumn("kind", F.when(is_call, "call").when(is_result, "result").otherwise("message"))
-    # One row for a message without calls: an outer explode of null.
-    m = m.select("*", F.posexplode_outer(F.when(F.col("kind") == "call", F.col("json.tool_calls"))).alias("sub", "call"))
+    beside = is_call & (F.coalesce(F.col("json.content"), F.lit("")) != "")
+    # One row for a message without calls: an outer explode of null.  Words beside calls go before them, as a null call.
+    parts = F.when(beside, F.concat(F.array(F.get("json.tool_calls", F.lit(-1))), "json.tool_calls")).when(is_call, F.col("json.tool_calls"))
+    m = m.select("*", beside.alias("beside"), F.posexplode_outer(parts).alias("sub", "call"))
+    m = m.withColumn("sub", F.col("sub") - F.col("beside").cast("int"))
+    m = m.withColumn("kind", F.when(F.col("sub") < 0, "message").otherwise(F.col("kind")))
     result = F.col("kind") == "result"
     return m.select(
         "conv", "turn", F.coalesce("sub", F.lit(0)).alias("sub"), "role", "kind",
         F.when(result, F.col("json.tool_call_id")).otherwise(F.col("call.id")).alias("call_id"),
         F.col("call.name").alias("name"), F.col("call.arguments").alias("arguments"),
         F.coalesce("call.after", F.array().cast("array<string>")).alias("after"),
-        F.when(result, F.col("json.content")).when(F.col("kind") == "message", F.col("text")).alias("content"))
+        F.when(result, F.col("json.content")).when(F.col("sub") < 0, F.col("json.content"))
+        .when(F.col("kind") == "message", F.col("text")).alias("content"))
 
 
 def _place(prefix: str = "") -> Column:

@@ -56,3 +56,16 @@ def test_repeated_rows_and_nothing(spark):
     got = run(spark, [(1, 0, "assistant", call("a", {"x": 1}))] * 3 + [(1, 1, "tool", result("a"))] * 2)
     assert sorted(r.status for r in got) == ["duplicate", "duplicate", "ok", "ok", "valid"]
     assert chat.format_chats(spark.createDataFrame([], MESSAGES), SCHEMAS).count() == 0
+
+
+def test_words_beside_calls_are_a_line_before_them(spark):
+    calls = [{"id": i, "name": "add", "arguments": {"x": 1}} for i in "ab"]
+    rows = [(1, 0, "assistant", json.dumps({"content": "let me add", "tool_calls": calls})), (1, 1, "tool", result("a")),
+            (1, 2, "tool", result("b")), (2, 0, "assistant", json.dumps({"content": "", "tool_calls": calls[:1]})), (2, 1, "tool", result("a")),
+            (3, 0, "assistant", json.dumps({"content": None, "tool_calls": [None, calls[0]]})), (3, 1, "tool", result("a"))]
+    got = run(spark, rows)
+    assert [(r.turn, r.sub, r.kind, r.status) for r in got if r.conv_id == 1] == [
+        (0, -1, "message", "ok"), (0, 0, "call", "valid"), (0, 1, "call", "valid"), (1, 0, "result", "ok"), (2, 0, "result", "ok")]
+    assert next(r.json for r in got if r.sub == -1) == '{"content":"let me add","kind":"message","role":"assistant"}'
+    assert [(r.sub, r.kind) for r in got if r.conv_id == 2] == [(0, "call"), (0, "result")]
+    assert [(r.sub, r.kind) for r in got if r.conv_id == 3] == [(0, "call"), (1, "call"), (0, "result")]
