@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, chat, decontaminate, jaccard_groups, maxent_lm, mixing, quality_zstd, rules_cascade, suffix_dedup, toxicity
+from . import (anchor_dedup, chat, decontaminate, fill_middle, jaccard_groups, maxent_lm, merkle_manifest, mixing, packing, quality_zstd,
+               rules_cascade, suffix_dedup, toxicity)
 from .common import fold, quoted, table, words
 
 
@@ -64,6 +65,34 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_cascade.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    other = merkle_manifest.leaf([more if c == "n_chars" else F.col(c) for c in fields])
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, other)
+    m = merkle_manifest.build(table(spark, sf_dir, "documents"), fields, keep={"tampered": tampered})
+    siblings = F.array_join(F.transform("path", lambda s: F.concat(s["before"], s["after"])), "")
+    folded = merkle_manifest.fold(F.coalesce("kept.tampered", "leaf"), F.col("path"))
+    return merkle_manifest.proofs(m).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle_manifest.digest(siblings).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    placed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fim = fill_middle.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fill_middle.restored(F.col("fim.output"), F.col("fim.form"))
+    return fim.select(
+        "doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2(F.col("fim.output").cast("binary"), 256).alias("output_sha256"), F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_maxent_lm": op2_maxent_lm,
@@ -75,6 +104,9 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_anchor_dedup": op9_anchor_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 # [^\x20\x09-\x0D]+ as RE2 writes it.
@@ -252,6 +284,69 @@ n AS (SELECT rid, count(*) AS n_removed FROM gone GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN n USING (rid) LEFT JOIN kept USING (rid)"""
 
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR)) || ':' || {value} END"
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+_OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('+' || lang, '') AS g,
+         {' || '.join(_field(c) for c in ('doc_id', 'source', 'lang'))} AS head, {_field('n_chars')} AS n, {_field('(n_chars::HUGEINT + 1)')} AS more,
+         {_field('text')} AS body, coalesce({_CRC32} % 7 = 0, false) AS tamper
+  FROM documents),
+e AS (SELECT rid, doc_id, g, sha256(head || n || body) AS leaf, sha256(head || CASE WHEN tamper THEN more ELSE n END || body) AS shown FROM d),
+place AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM e),
+node AS (
+  SELECT g, 0 AS h, i, leaf AS x, count(*) OVER (PARTITION BY g) AS n FROM place
+  UNION ALL
+  SELECT g, h + 1, i // 2, sha256(string_agg(x, '' ORDER BY i)), (n + 1) // 2 FROM node WHERE n > 1 GROUP BY g, h, i // 2, n),
+sub AS (SELECT g, h AS height, x AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS j FROM node WHERE n = 1),
+top AS (
+  SELECT 0 AS h, j, subroot AS x, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT h + 1, j // 2, sha256(string_agg(x, '' ORDER BY j)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY h, j // 2, n),
+step AS (
+  SELECT rid, node.h AS k, (i >> node.h) & 1 AS digit, other.x AS sibling
+  FROM place JOIN sub USING (g) JOIN (SELECT DISTINCT g, h FROM node WHERE n > 1) node USING (g)
+    LEFT JOIN (SELECT g, h, i AS at, x FROM node) other ON other.g = place.g AND other.h = node.h AND other.at = xor(i >> node.h, 1)
+  UNION ALL
+  SELECT rid, height + up.h, (j >> up.h) & 1, other.x
+  FROM place JOIN sub USING (g), (SELECT DISTINCT h FROM top WHERE n > 1) up
+    LEFT JOIN (SELECT h, j AS at, x FROM top) other ON other.h = up.h AND other.at = xor(sub.j >> up.h, 1)),
+fold AS (
+  SELECT rid, 0 AS k, shown AS x FROM place
+  UNION ALL
+  SELECT rid, k + 1, sha256(CASE WHEN digit = 1 THEN sibling || x ELSE x || coalesce(sibling, '') END) FROM fold JOIN step USING (rid, k)),
+proof AS (SELECT rid, string_agg(sibling, '' ORDER BY k) AS p, count(*) AS steps FROM step GROUP BY rid)
+SELECT doc_id, leaf, subroot, top.x AS root, sha256(coalesce(p, '')) AS proof_sha256, fold.x AS folded_root, fold.x = top.x AS verified
+FROM place JOIN sub USING (g) JOIN top ON top.n = 1 LEFT JOIN proof USING (rid) JOIN fold ON fold.rid = place.rid AND fold.k = coalesce(steps, 0)"""
+
+_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x
+  FROM documents),
+h AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3,
+         ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p"""
+
 ORACLES = {
     "op3_decontaminate": _OP3,
     "op4_chat_tools": _OP4,
@@ -260,4 +355,6 @@ ORACLES = {
     "op8_source_mix": _OP8,
     "op9_anchor_dedup": _OP9,
     "op10_quality_rules": _OP10,
+    "op11_merkle_manifest": _OP11,
+    "op13_fill_middle": _OP13,
 }
