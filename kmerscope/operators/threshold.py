@@ -17,6 +17,16 @@ prefix-filter lemma of the AllPairs / PPJoin papers).  So:
    each pair once, and only sets with members of different groups;
 4. verify each candidate with the exact Jaccard of the full sets.
 
+With the length filter, sets are told apart by their members' length as well, so
+the filter is exact on pairs of sets: it is part of the join key (as length
+bands, where these are narrower than the size bands) and is checked before
+anything is counted or verified, not on the expanded result.
+
+``set_pair_table`` gives the result without expanding it: pairs of sets, each
+named by its first member, with the number of member pairs they stand for, and
+``set_members`` says which rows a set stands for.  Both grow with the rows and
+the linked sets, however many copies there are.
+
 The result is exact for every ``t > 0``: no pair above the threshold is lost,
 none below it is returned.  The work shrinks as ``t`` grows; at low ``t`` the
 prefixes approach the whole set.
@@ -31,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import explode_values
-from ..functions.similarity import jaccard, length_ratio_ok
+from ..functions.similarity import jaccard, length_ratio_ok, log_length_band
 from .pairs import orient
 from .skew import DEFAULT_CELL_ROWS, grid_self_join, grid_size, prefixed
 
@@ -67,9 +77,10 @@ def token_frequencies(sets: DataFrame) -> DataFrame:
 
 def ordered_tokens(sets: DataFrame) -> DataFrame:
     """Sets with ``ord``: their tokens as ``struct(df, tok)`` sorted rarest first."""
-    exploded = sets.select("sid", "g_lo", "g_hi", explode_values("tokens", "tok"))
+    keys = [c for c in sets.columns if c not in ("tokens", "n")]
+    exploded = sets.select(*keys, explode_values("tokens", "tok"))
     return (exploded.join(token_frequencies(sets), "tok")
-            .groupBy("sid", "g_lo", "g_hi").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
+            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
 
 
 def min_overlap(n, t: float):
@@ -91,8 +102,9 @@ def size_band(n: Column, t: float) -> Column:
     return F.floor(F.log(n) / F.lit(width)) if width > EPS else n.cast("bigint")
 
 
-def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = DEFAULT_CELL_ROWS) -> DataFrame:
-    """Distinct ``(a_sid, b_sid)`` sharing enough prefix tokens, a being the smaller set.
+def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = DEFAULT_CELL_ROWS,
+                    max_len_diff: float | None = None) -> DataFrame:
+    """Distinct ``(a_sid, b_sid)`` sharing enough prefix tokens, a being the smaller set (or the shorter one).
 
     Extended prefix: if ``|A n B| = c >= alpha_A = ceil(t|A|)``, the first m
     shared tokens (in the global order) lie within the first
@@ -107,21 +119,34 @@ def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = D
     last counted one (at ``(i', j')``), so ``|A n B| <= shared + min(|A| - i' - 1,
     |B| - j' - 1)``.  Pairs whose bound is below ``t / (1 + t) * (|A| + |B|)``
     cannot reach ``J >= t`` and are dropped before verification.
+
+    ``max_len_diff`` needs sets that carry ``length``; the join key then holds
+    the narrower of size and length bands, and the other filter is checked on
+    each pair that meets.
     """
     n = F.size("ord")
-    pre = (ordered.select("sid", "g_lo", "g_hi", n.alias("n"), size_band(n, t).alias("_band"),
+    own = ["sid", "g_lo", "g_hi"] + (["length"] if max_len_diff is not None else [])
+    by_length = max_len_diff is not None and 1 - max_len_diff > t
+    band, by = (log_length_band("length", max_len_diff), "length") if by_length else (size_band(n, t), "n")
+    pre = (ordered.select(*own, n.alias("n"), band.alias("_band"),
                           F.posexplode(F.slice("ord", 1, prefix_length(n, t, m).cast("int"))).alias("pos", "p"))
            .where(F.col("p.df") > 1)
-           .select("sid", "g_lo", "g_hi", "n", "_band", "pos", F.col("p.tok").alias("_key"),
+           .select(*own, "n", "_band", "pos", F.col("p.tok").alias("_key"),
                    grid_size(F.col("p.df"), cell_rows).alias("_grid")))
     keys = ["_key", "_band"]
     a = prefixed(pre, "a_", [*keys, "_grid"])
     b = pre.withColumn("_band", F.explode(F.array(F.col("_band"), F.col("_band") - 1)))
     b = prefixed(b, "b_", [*keys, "_grid"])
     j = grid_self_join(a, b, keys, "_grid", ["a_sid"], ["b_sid"])
-    smaller = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_sid") < F.col("b_sid")))
+    one, other = F.col("a_" + by), F.col("b_" + by)
+    smaller = (one < other) | ((one == other) & (F.col("a_sid") < F.col("b_sid")))
     groups = F.least("a_g_lo", "b_g_lo") < F.greatest("a_g_hi", "b_g_hi")
-    cond = smaller & groups & (F.col("a_n") >= F.col("b_n") * F.lit(t) - F.lit(EPS))
+    sizes = F.col("a_n") >= F.col("b_n") * F.lit(t) - F.lit(EPS)
+    if by_length:
+        sizes = sizes & (F.col("b_n") >= F.col("a_n") * F.lit(t) - F.lit(EPS))
+    cond = smaller & groups & sizes
+    if max_len_diff is not None:
+        cond = cond & length_ratio_ok("a_length", "b_length", max_len_diff)
     pairs = (j.where(cond).groupBy("a_sid", "b_sid")
              .agg(F.min("a_pos").alias("i"), F.min("b_pos").alias("j"), F.max("a_pos").alias("il"),
                   F.max("b_pos").alias("jl"), F.first("a_n").alias("na"), F.first("b_n").alias("nb"),
@@ -133,25 +158,32 @@ def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = D
     return pairs.where((bound >= need) & enough).select("a_sid", "b_sid")
 
 
-def prepare(items_with_tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+def prepare(items_with_tokens: DataFrame, by_length: bool = False) -> tuple[DataFrame, DataFrame]:
     """Members (``sid, _g, dataset, id, length``) and their distinct sets.
 
-    Both are cached lazily, as every step of a join reads them; nothing runs
-    here, a lost block is computed again, and ``unpersist()`` or the session's
+    ``by_length``: sets are told apart by their members' length as well.  Both
+    are cached lazily, as every step of a join reads them; nothing runs here, a
+    lost block is computed again, and ``unpersist()`` or the session's
     ``catalog.clearCache()`` frees them.
     """
     keyed = with_set_id(items_with_tokens.select("_g", "dataset", "id", "length", "tokens"))
-    sets = distinct_sets(keyed).persist(StorageLevel.MEMORY_AND_DISK)
+    if by_length:
+        keyed = keyed.withColumn("sid", F.concat_ws(":", "sid", "length"))
+    sets = distinct_sets(keyed, by=("length",) if by_length else ()).persist(StorageLevel.MEMORY_AND_DISK)
     return keyed.drop("tokens").persist(StorageLevel.MEMORY_AND_DISK), sets
 
 
-def set_pairs(sets: DataFrame, t: float, strict: bool = True, **grid) -> DataFrame:
-    """``a_sid, b_sid, jaccard`` of distinct sets above the threshold, equal sets of several groups included."""
+def set_pairs(sets: DataFrame, t: float, strict: bool = True, met: bool = False, **grid) -> DataFrame:
+    """``a_sid, b_sid, jaccard`` of distinct sets above the threshold, equal sets of several groups included.
+
+    ``met``: also those below it whose prefixes meet (all candidates verified).
+    """
     cand = candidate_pairs(ordered_tokens(sets), t, **grid)
     full = sets.select("sid", "tokens")
     v = cand.join(prefixed(full, "a_", []), "a_sid").join(prefixed(full, "b_", []), "b_sid")
     v = v.select("a_sid", "b_sid", jaccard("a_tokens", "b_tokens").alias("jaccard"))
-    v = v.where(F.col("jaccard") > F.lit(t)) if strict else v.where(F.col("jaccard") >= F.lit(t))
+    if not met:
+        v = v.where(F.col("jaccard") > F.lit(t)) if strict else v.where(F.col("jaccard") >= F.lit(t))
     if strict and t >= 1:
         return v
     same = sets.where(F.col("g_lo") < F.col("g_hi")).select(F.col("sid").alias("a_sid"), F.col("sid").alias("b_sid"),
@@ -176,8 +208,62 @@ def threshold_join(items_with_tokens: DataFrame, t: float = 0.9, strict: bool =
     """
     if not 0 < t <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    members, sets = prepare(items_with_tokens)
-    out = expand(set_pairs(sets, t, strict, **grid), members, "jaccard")
-    if max_len_diff is not None:
-        out = out.where(length_ratio_ok(F.col("left_length"), F.col("right_length"), max_len_diff))
-    return out
+    members, sets = prepare(items_with_tokens, max_len_diff is not None)
+    return expand(set_pairs(sets, t, strict, max_len_diff=max_len_diff, **grid), members, "jaccard")
+
+
+def set_members(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``set_dataset, set_id`` (the set's first member), ``dataset, id, length`` for every row that has a token.
+
+    ``members`` and ``sets`` as ``prepare`` gives them.  The first member is the one of
+    least id, then dataset.  One row for each row, however many are alike.
+    """
+    first = _first_of_sets(members).select("sid", F.col("dataset").alias("set_dataset"), F.col("id").alias("set_id"))
+    first = first.join(sets.select("sid"), "sid", "left_semi")  # the empty set is none of them
+    return members.join(first, "sid").select("set_dataset", "set_id", "dataset", "id", "length")
+
+
+def _first_of_sets(members: DataFrame) -> DataFrame:
+    least = F.min(F.struct("id", F.col("_g").alias("g"), "dataset", "length"))
+    return members.groupBy("sid").agg(least.alias("m")).select("sid", "m.dataset", "m.id", "m.length")
+
+
+def member_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """``pairs`` (``a_sid, b_sid``) with ``a_rows, b_rows, n_pairs``: their rows, and the pairs of these across groups.
+
+    Of all ``a_rows * b_rows`` those of one group are taken off, by counts per
+    (set, group): no pair of members is made.
+    """
+    per = members.groupBy("sid", "_g").agg(F.count(F.lit(1)).alias("c"))
+    rows = per.groupBy("sid").agg(F.sum("c").alias("rows"), F.sum(F.col("c") * F.col("c")).alias("own"))
+    p = pairs.join(prefixed(rows, "a_", []), "a_sid").join(prefixed(rows, "b_", []), "b_sid")
+    # Equal groups on both sides; within one set these are the squares already at hand.
+    apart = pairs.where(F.col("a_sid") != F.col("b_sid")).select("a_sid", "b_sid")
+    a, b = prefixed(per, "a_", ["_g"]), prefixed(per, "b_", ["_g"])
+    both = (apart.join(a, "a_sid").join(b, ["b_sid", "_g"])
+            .groupBy("a_sid", "b_sid").agg(F.sum(F.col("a_c") * F.col("b_c")).alias("both")))
+    n = F.when(F.col("a_sid") == F.col("b_sid"), F.floor((F.col("a_rows") * F.col("a_rows") - F.col("a_own")) / 2))
+    n = n.otherwise(F.col("a_rows") * F.col("b_rows") - F.coalesce("both", F.lit(0)))
+    return p.join(both, ["a_sid", "b_sid"], "left").withColumn("n_pairs", n.cast("long")).drop("a_own", "b_own", "both")
+
+
+def set_pair_table(items_with_tokens: DataFrame, t: float = 0.9, strict: bool = True, max_len_diff: float | None = None,
+                   **grid) -> tuple[DataFrame, DataFrame]:
+    """The threshold join as two tables, never expanded: pairs of distinct sets, and who their members are.
+
+    Pairs: ``left_dataset, left_id, left_rows, right_dataset, right_id,
+    right_rows, n_pairs, jaccard``, a set being named by its member of least id
+    (then dataset) and the left one having the lesser name; ``n_pairs`` counts
+    the pairs of rows across groups, and a set with members of several groups
+    is paired with itself.  Members: see ``set_members``.
+    """
+    members, sets = prepare(items_with_tokens, max_len_diff is not None)
+    pairs = member_pairs(set_pairs(sets, t, strict, max_len_diff=max_len_diff, **grid), members)
+    first = _first_of_sets(members).select("sid", F.struct("id", "dataset", "length").alias("name"))
+    p = pairs.join(prefixed(first, "a_", []), "a_sid").join(prefixed(first, "b_", []), "b_sid")
+    ahead = F.col("a_name") <= F.col("b_name")
+    out = []
+    for side, (one, other) in (("left", ("a_", "b_")), ("right", ("b_", "a_"))):
+        for c in ("name.dataset", "name.id", "rows"):
+            out.append(F.when(ahead, F.col(one + c)).otherwise(F.col(other + c)).alias(f"{side}_{c.split('.')[-1]}"))
+    return p.select(*out, "n_pairs", "jaccard"), set_members(members, sets)

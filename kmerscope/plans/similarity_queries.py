@@ -7,16 +7,20 @@ Parquet views that must give the same rows (column names included).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import MERSENNE_31, MINHASH_PRIME, POLY_BASE, minhash_coefficients
 from ..functions.kmers import with_kmers
-from ..functions.similarity import length_bucket, similarity_band
+from ..functions.similarity import length_bucket
 from ..operators import collection as C
-from ..operators.lsh import hashed_features, hashed_tf, minhash_join, signatures
+from ..operators.bands import band_counts
+from ..operators.lsh import bands_for, hashed_features, hashed_tf, lsh_recall, lsh_threshold_join, minhash_join, signatures
+from ..operators.nearest import nearest_matches
 from ..operators.pairs import length_band_counts
-from ..operators.threshold import threshold_join
+from ..operators.threshold import set_pair_table, threshold_join
 from ..operators.topk import best_matches, pair_order, top_k_pairs
 from .tables import doc_items, doc_tokens, documents, table
 
@@ -32,8 +36,8 @@ TOP_K = 10
 NUM_TABLES = 12
 BUCKET = 100
 NUM_FEATURES = 1 << 14
-BANDED = (25, 2)         # bands, rows per band: a pair at J = 0.3 is found with probability 0.905, at 0.5 with 0.999
-WIDE_BUCKET = 100_000    # of length: items and documents meet
+RECALL = 0.95            # of pairs at the threshold itself; those above it are found more often
+ROWS_PER_BAND = 2
 TWO_TABLE_THRESHOLD = 0.3
 
 
@@ -86,9 +90,23 @@ def q_best_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_similarity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of length-filtered pairs per similarity band, for the bands from 0.5 up."""
-    scored = q_jaccard_length_filtered(spark, sf_dir)
-    return scored.groupBy(similarity_band("jaccard").alias("band")).agg(F.count(F.lit(1)).alias("n_pairs"))
+    """Numbers of all length-filtered pairs per similarity band: identical, high, and those below 0.5."""
+    return band_counts(doc_tokens(spark, sf_dir), "high", MAX_LEN_DIFF)
+
+
+def q_nearest_partners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best partners of every document in other datasets, however low they score."""
+    return nearest_matches(doc_tokens(spark, sf_dir), BEST_K)
+
+
+def q_jaccard_set_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The threshold join's pairs of distinct sets, with the number of row pairs each stands for."""
+    return set_pair_table(doc_tokens(spark, sf_dir), THRESHOLD)[0]
+
+
+def q_jaccard_set_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows each of these sets stands for."""
+    return set_pair_table(doc_tokens(spark, sf_dir), THRESHOLD)[1]
 
 
 def q_top10_len_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,14 +137,19 @@ def q_two_table_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_two_table_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_join(two_tables(spark, sf_dir), 1 - TWO_TABLE_THRESHOLD, BANDED[0], BANDED[1], WIDE_BUCKET).select(
-        *PAIR_COLS, "minhash_similarity")
+    return lsh_threshold_join(two_tables(spark, sf_dir), TWO_TABLE_THRESHOLD, RECALL).select(
+        *PAIR_COLS, F.col("jaccard").alias("minhash_similarity"))
 
 
 def q_minhash_banded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bands of several rows: candidates agree in all of a band's hashes."""
-    return minhash_join(doc_tokens(spark, sf_dir), 1 - BEST_THRESHOLD, *BANDED, BUCKET).select(
-        *PAIR_COLS, "minhash_similarity")
+    """MinHash at a low threshold: bands of several rows, blocked by the sizes that the threshold allows."""
+    return lsh_threshold_join(doc_tokens(spark, sf_dir), BEST_THRESHOLD, RECALL).select(
+        *PAIR_COLS, F.col("jaccard").alias("minhash_similarity"))
+
+
+def q_minhash_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs above 0.5, of any lengths, and how many of them ``minhash_banded`` finds."""
+    return lsh_recall(doc_tokens(spark, sf_dir), BEST_THRESHOLD, RECALL)
 
 
 def q_top10_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,6 +239,9 @@ QUERIES = {
     "jaccard_threshold_len_filtered": q_jaccard_threshold_len_filtered,
     "top10_pairs": q_top10_pairs,
     "best_matches": q_best_matches,
+    "nearest_partners": q_nearest_partners,
+    "jaccard_set_pairs": q_jaccard_set_pairs,
+    "jaccard_set_members": q_jaccard_set_members,
     "similarity_bands": q_similarity_bands,
     "hashed_tf": q_hashed_tf,
     "minhash_signature": q_minhash_signature,
@@ -223,6 +249,7 @@ QUERIES = {
     "minhash_len_filtered": q_minhash_len_filtered,
     "minhash_neighbour_buckets": q_minhash_neighbour_buckets,
     "minhash_banded": q_minhash_banded,
+    "minhash_recall": q_minhash_recall,
     "minhash_top10": q_minhash_top10,
     "top10_len_filtered": q_top10_len_filtered,
     "top10_disjoint": q_top10_disjoint,
@@ -300,18 +327,26 @@ def _length_filtered_sql() -> str:
 _TWO_DOCS = """SELECT 'benchmark' AS dataset, item_id AS id, length(text) AS len, string_split(text, '') AS cs FROM benchmark
 UNION ALL SELECT 'documents', doc_id, length(text), string_split(text, '') FROM documents"""
 _TWO_SETS_N = _SETS_N.replace(_DOCS, _TWO_DOCS)
-_TWO_FEATS = _FEATS.replace(_DOCS, _TWO_DOCS).replace(f"len // {BUCKET} AS bucket", f"len // {WIDE_BUCKET} AS bucket")
-
 
-def _banded_sql(feats: str, t: float) -> str:
-    """Pairs of one bucket that agree in all hashes of some band, above the threshold: the bands are modelled."""
-    bands, rows = BANDED
-    mins = ", ".join(f"list_min(list_transform(s, lambda f: ((f + 1) * {a} + {b}) % {MINHASH_PRIME}))"
-                     for a, b in minhash_coefficients(bands * rows))
-    return f"""WITH k AS (SELECT *, len(s) AS n, [{mins}] AS sig FROM ({feats}) WHERE len(s) > 0),
-e AS (SELECT dataset, id, bucket, unnest(range(0, {bands})) AS band, unnest([sig[i * {rows} + 1:(i + 1) * {rows}] for i in range(0, {bands})]) AS key FROM k),
+def _banded_sql(sets: str, t: float) -> str:
+    """Pairs of sets of like size that agree in all hashes of some band, above the threshold: the bands are modelled.
+
+    Hashes are of 3-mers, so each 3-mer's are computed once, over the vocabulary.
+    """
+    bands = bands_for(t, RECALL, ROWS_PER_BAND)
+    f = f"(((unicode(x[1])::BIGINT * {POLY_BASE} + unicode(x[2])) % {MERSENNE_31}) * {POLY_BASE} + unicode(x[3])) % {MERSENNE_31}"
+    coeffs = minhash_coefficients(bands * ROWS_PER_BAND)
+    hashes = ", ".join(f"((f + 1) * {a} + {b}) % {MINHASH_PRIME} AS h{i}" for i, (a, b) in enumerate(coeffs))
+    mins = ", ".join(f"min(h{i})" for i in range(len(coeffs)))
+    width = -math.log(t) * (1 + 1e-9)
+    return f"""WITH k AS (SELECT * FROM ({sets}) WHERE n > 0),
+e AS (SELECT dataset, id, unnest(s) AS x FROM k),
+v AS (SELECT x, {hashes} FROM (SELECT DISTINCT x, {f} AS f FROM e)),
+g AS (SELECT dataset, id, [{mins}] AS sig FROM e JOIN v USING (x) GROUP BY dataset, id),
+r AS (SELECT dataset, id, floor(ln(n) / {width})::INTEGER AS size, unnest(range(0, {bands})) AS band,
+             unnest([sig[i * {ROWS_PER_BAND} + 1:(i + 1) * {ROWS_PER_BAND}] for i in range(0, {bands})]) AS key FROM g JOIN k USING (dataset, id)),
 c AS (SELECT DISTINCT a.dataset AS ad, a.id AS aid, b.dataset AS bd, b.id AS bid
-      FROM e a JOIN e b ON a.bucket = b.bucket AND a.band = b.band AND a.key = b.key AND a.dataset < b.dataset)
+      FROM r a JOIN r b ON a.band = b.band AND a.key = b.key AND a.dataset < b.dataset AND abs(a.size - b.size) <= 1)
 SELECT * FROM (
   SELECT {_PAIR_SELECT}, {_J} / (a.n + b.n - {_J}) AS minhash_similarity
   FROM c JOIN k a ON a.dataset = ad AND a.id = aid JOIN k b ON b.dataset = bd AND b.id = bid)
@@ -326,6 +361,23 @@ SELECT id AS doc_id, unnest(range(0, {NUM_TABLES}))::INTEGER AS hash_index, unne
 FROM k WHERE len(s) > 0"""
 
 
+def _best_sql(pairs: str) -> str:
+    return f"""WITH p AS ({pairs}),
+both_dirs AS (
+  SELECT left_dataset AS dataset, left_id AS id, right_dataset AS partner_dataset, right_id AS partner_id, jaccard FROM p
+  UNION ALL
+  SELECT right_dataset, right_id, left_dataset, left_id, jaccard FROM p)
+SELECT * FROM (
+  SELECT dataset, id, (row_number() OVER (PARTITION BY dataset, id
+         ORDER BY jaccard DESC, partner_id, partner_dataset))::INTEGER AS rank, partner_dataset, partner_id, jaccard
+  FROM both_dirs) WHERE rank <= {BEST_K}"""
+
+
+# Rows with the first row (by id, then dataset) of the same set of 3-mers.
+_MEMBERS_SQL = f"""WITH u AS (SELECT dataset, id, len, list_sort(s) AS s FROM ({_SETS_N}) WHERE n > 0),
+m AS (SELECT dataset, id, len, first_value(dataset) OVER w AS set_dataset, first_value(id) OVER w AS set_id
+      FROM u WINDOW w AS (PARTITION BY s ORDER BY id, dataset))"""
+
 ORACLES = {
     "kmer_set_sizes": f"""SELECT id AS doc_id, len::INTEGER AS length,
   greatest(len - 2, 0)::INTEGER AS bag_size,
@@ -350,28 +402,41 @@ FROM k a JOIN k b ON a.dataset < b.dataset AND a.len > 0 AND b.len > 0 AND {_LEN
     "top10_pairs": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
 FROM ({_inverted_sql(_SETS_N, "", "jaccard")})
 ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
-    "best_matches": f"""WITH p AS ({_threshold_sql(BEST_THRESHOLD)}),
-both_dirs AS (
-  SELECT left_dataset AS dataset, left_id AS id, right_dataset AS partner_dataset, right_id AS partner_id, jaccard FROM p
-  UNION ALL
-  SELECT right_dataset, right_id, left_dataset, left_id, jaccard FROM p)
-SELECT * FROM (
-  SELECT dataset, id, (row_number() OVER (PARTITION BY dataset, id
-         ORDER BY jaccard DESC, partner_id, partner_dataset))::INTEGER AS rank, partner_dataset, partner_id, jaccard
-  FROM both_dirs) WHERE rank <= {BEST_K}""",
-    "similarity_bands": f"""SELECT CASE WHEN jaccard >= 1.0 THEN 'identical' ELSE 'high' END AS band, count(*) AS n_pairs
-FROM ({_length_filtered_sql()}) GROUP BY 1""",
+    "best_matches": _best_sql(_threshold_sql(BEST_THRESHOLD)),
+    "nearest_partners": _best_sql(_inverted_sql(_SETS_N, "", "jaccard")),
+    "jaccard_set_pairs": f"""{_MEMBERS_SQL},
+p AS (
+  SELECT a.set_id AS l, a.set_dataset AS ld, b.set_id AS r, b.set_dataset AS rd, jaccard
+  FROM ({_threshold_sql(THRESHOLD)}) t
+    JOIN m a ON a.dataset = t.left_dataset AND a.id = t.left_id JOIN m b ON b.dataset = t.right_dataset AND b.id = t.right_id),
+o AS (
+  SELECT least((l, ld), (r, rd)) AS one, greatest((l, ld), (r, rd)) AS other, any_value(jaccard) AS jaccard, count(*) AS n_pairs
+  FROM p GROUP BY 1, 2),
+c AS (SELECT (set_id, set_dataset) AS s, any_value(set_id) AS id, any_value(set_dataset) AS dataset, count(*) AS n FROM m GROUP BY 1)
+SELECT a.dataset AS left_dataset, a.id AS left_id, a.n AS left_rows, b.dataset AS right_dataset, b.id AS right_id, b.n AS right_rows,
+       n_pairs, jaccard
+FROM o JOIN c a ON a.s = one JOIN c b ON b.s = other""",
+    "jaccard_set_members": f"""{_MEMBERS_SQL}
+SELECT set_dataset, set_id, dataset, id, len::INTEGER AS length FROM m""",
+    "similarity_bands": f"""WITH p AS ({_length_filtered_sql()}),
+k AS (SELECT source AS dataset, length(text) AS len FROM documents WHERE length(text) > 0),
+h AS (SELECT dataset, len, count(*) AS c FROM k GROUP BY ALL)
+SELECT CASE WHEN jaccard >= 1.0 THEN 'identical' ELSE 'high' END AS band, count(*)::BIGINT AS n_pairs FROM p GROUP BY 1
+UNION ALL
+SELECT 'below 0.5', ((SELECT sum(a.c * b.c) FROM h a JOIN h b ON a.dataset < b.dataset AND {_LEN_OK}) - (SELECT count(*) FROM p))::BIGINT""",
     "top10_len_filtered": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
 FROM ({_inverted_sql(_SETS_N, f" AND {_LEN_OK}", "jaccard")})
 ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
     "minhash_top10": f"""SELECT left_dataset, left_id, right_dataset, right_id, minhash_similarity FROM ({_lsh_sql()})
 ORDER BY minhash_similarity DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
-    "minhash_banded": _banded_sql(_FEATS, BEST_THRESHOLD),
+    "minhash_banded": _banded_sql(_SETS_N, BEST_THRESHOLD),
+    "minhash_recall": f"""SELECT (SELECT count(*) FROM ({_threshold_sql(BEST_THRESHOLD)})) AS n_exact,
+  (SELECT count(*) FROM ({_banded_sql(_SETS_N, BEST_THRESHOLD)})) AS n_found""",
     "two_table_jaccard": f"SELECT * FROM ({_inverted_sql(_TWO_SETS_N, _size_cond(TWO_TABLE_THRESHOLD), 'jaccard')}) WHERE jaccard > {TWO_TABLE_THRESHOLD}",
     "two_table_top10": f"""SELECT left_dataset, left_id, right_dataset, right_id, jaccard
 FROM ({_inverted_sql(_TWO_SETS_N, "", "jaccard")})
 ORDER BY jaccard DESC, left_id, right_id, left_dataset, right_dataset LIMIT {TOP_K}""",
-    "two_table_minhash": _banded_sql(_TWO_FEATS, TWO_TABLE_THRESHOLD),
+    "two_table_minhash": _banded_sql(_TWO_SETS_N, TWO_TABLE_THRESHOLD),
     "top10_disjoint": f"""WITH p AS (
   SELECT s_suppkey AS left_id, p_partkey AS right_id,
          list_distinct([substr(s_name, i, 3) for i in range(1, length(s_name) - 1)]) AS a,

@@ -6,10 +6,11 @@ import string
 from pyspark.sql import functions as F
 
 from kmerscope.functions.hashing import minhash_coefficients
-from kmerscope.operators.lsh import hashed_features, minhash_join, signatures
+from kmerscope.functions.similarity import length_ratio_ok
+from kmerscope.operators.lsh import bands_for, hashed_features, lsh_recall, lsh_threshold_join, minhash_join, signatures
 from kmerscope.operators.sampling import check_sample_size, sample_exact_n, sample_per_dataset
 from kmerscope.operators.threshold import threshold_join
-from kmerscope.plans.similarity_queries import BANDED, TWO_TABLE_THRESHOLD, WIDE_BUCKET
+from kmerscope.plans.similarity_queries import RECALL, TWO_TABLE_THRESHOLD
 from tests.test_pairs import _fixture, _items, _key
 
 import pytest
@@ -79,16 +80,36 @@ def test_minhash_join_adjacent_buckets(spark):
     assert got == expect
 
 
-def test_registered_bands_find_pairs_at_the_lowest_threshold(spark):
+@pytest.mark.parametrize("t", [TWO_TABLE_THRESHOLD, 0.5])
+def test_pairs_at_the_threshold_are_found(spark, t):
+    """Pairs just above the threshold, of unlike lengths too: the recall asked for, and no pair below."""
     rng = random.Random(5)
     rows = []
-    for i in range(200):
+    for i in range(300):
         a, b = ("".join(rng.choices(string.ascii_lowercase, k=200)) for _ in range(2))
-        n = rng.randint(96, 110)
-        rows += [("d0", i, a), ("d1", i, a[:n] + b[n:])]
+        n = round(200 * 2 * t / (1 + t)) + rng.randint(1, 8)
+        rows += [("d0", i, a), ("d1", i, a[:n] + (b[n:] if i % 2 else ""))]
     items = _items(spark, rows)
-    t = TWO_TABLE_THRESHOLD
-    hashed = hashed_features(items, bucket_width=WIDE_BUCKET).drop("len_bucket").withColumnRenamed("features", "tokens")
-    exact = {_key(r) for r in threshold_join(hashed.withColumn("tokens", F.col("tokens").cast("array<bigint>")), t).collect()}
-    found = {_key(r) for r in minhash_join(items, 1 - t, *BANDED, WIDE_BUCKET).collect()}
-    assert len(exact) > 100 and found <= exact and len(found) >= 0.9 * len(exact)
+    exact = {_key(r): r.jaccard for r in threshold_join(items, t).collect()}
+    found = {_key(r): r.jaccard for r in lsh_threshold_join(items, t, RECALL, cell_rows=7).collect()}
+    assert len(exact) > 100 and found.items() <= exact.items() and len(found) >= 0.9 * len(exact)
+    if t == 0.5:
+        r = lsh_recall(items, t, RECALL).first()
+        assert (r.n_exact, r.n_found) == (len(exact), len(found))
+
+
+def test_bands_follow_from_the_recall():
+    assert bands_for(0.5, 0.9) == 9 and bands_for(0.3, 0.9) == 25 and bands_for(0.9, 0.9, 1) == 1
+    for bad in ((0, 0.9), (1, 0.9), (0.5, 1)):
+        with pytest.raises(ValueError):
+            bands_for(*bad)
+
+
+def test_length_filter_where_sets_meet(spark):
+    rows = _fixture(120, seed=11)
+    rows += [("d0", 900, "ABCABCABC"), ("d1", 901, "ABCABCABCABC"), ("d2", 902, "ABCABCABC")]
+    items = _items(spark, rows)
+    plain = minhash_join(items, 0.3, 12, 1, 100)
+    expected = {_key(r) for r in plain.where(length_ratio_ok("left_length", "right_length", 0.1)).collect()}
+    got = {_key(r) for r in minhash_join(items, 0.3, 12, 1, 100, max_len_diff=0.1).collect()}
+    assert got == expected and ("d0", 900, "d2", 902) in got and ("d0", 900, "d1", 901) not in got
