@@ -73,7 +73,7 @@ def _lines(messages: DataFrame, conv: str, turn: str, role: str, text: str) -> D
     """``conv, turn, sub, role, kind, call_id, name, arguments, after, content`` for every call, result, plain message and words beside calls."""
     m = messages.select(quoted(conv).alias("conv"), quoted(turn).cast("long").alias("turn"), quoted(role).alias("role"),
                         quoted(text).alias("text"))
-    m = m.withColumn("json", F.when(F.col("role").isin("assistant", "tool") & F.ltrim("text").startswith("{"),
+    m = m.withColumn("json", F.when(F.col("role").isin("assistant", "tool") & F.ltrim("text", F.lit(" \t\r\n")).startswith("{"),
                                     F.from_json("text", _JSON)))
     calls = F.coalesce(F.size("json.tool_calls"), F.lit(0)) > 0
     is_call = (F.col("role") == "assistant") & calls

@@ -125,14 +125,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
 
 def scorer(spark: SparkSession, model: CompressionModel):
     """A vectorised function: text column -> score column."""
-    shared = spark.sparkContext.broadcast(model)  # bounded by dictionary_bytes
+    # Bounded by dictionary_bytes.  Plain data: a broadcast is unpickled where the package may not be on the path.
+    shared = spark.sparkContext.broadcast(([(j.good, j.bad, j.mean, j.scale, j.weights) for j in model.judges], model.prior))
 
     @F.pandas_udf("double")
     def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = shared.value
-        judges = [(j, _Sizes(j.good, j.bad)) for j in m.judges]
+        plain, prior = shared.value
+        judges = [(Judge(*j), _Sizes(j[0], j[1])) for j in plain]
         for batch in batches:
-            p = np.zeros(len(batch)) if judges else np.full(len(batch), m.prior)
+            p = np.zeros(len(batch)) if judges else np.full(len(batch), prior)
             for j, sizes in judges:
                 s = np.array([sizes((t or "").encode()) for t in batch]).reshape(-1, 4)
                 z = (_inputs(s) - j.mean) / j.scale @ j.weights
