@@ -7,8 +7,8 @@ fixed global token order the first ``|A| - ceil(t|A|) + 1`` tokens of A and the
 first ``|B| - ceil(t|B|) + 1`` tokens of B share at least one token (the
 prefix-filter lemma of the AllPairs / PPJoin papers).  So:
 
-1. document frequency per token over distinct sets (one aggregate with map-side
-   combine);
+1. frequencies over distinct sets, per hash cell of tokens (one aggregate with
+   map-side combine, of fixed size);
 2. per set, tokens sorted by (frequency, token); keep the prefix.  Rare tokens
    come first, so a common token enters a prefix only for sets made almost
    entirely of common tokens;
@@ -46,11 +46,16 @@ from .pairs import orient
 from .skew import DEFAULT_CELL_ROWS, grid_self_join, grid_size, prefixed
 
 EPS = 1e-9
+CELLS = 1 << 17
+RANK_STEPS = 4
+PARITY_WORDS = 8   # 512 bits tell sets of up to some two thousand tokens apart
+PARITY_FROM = 0.7  # of lower similarity, the unshared tokens allowed are more than the bits
 
 
 def set_id(tokens: Column) -> Column:
-    """128-bit key of a token set, whatever its order."""
-    return F.md5(F.concat_ws(",", F.sort_array(tokens).cast("array<string>")).cast("binary"))
+    """128-bit key of a token set, whatever its order: two 64-bit hashes of its sorted tokens."""
+    ordered = F.sort_array(tokens)
+    return F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(seed), ordered)) for seed in (1, 2)])
 
 
 def with_set_id(items: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -69,18 +74,41 @@ def distinct_sets(items: DataFrame, tokens: str = "tokens", by: tuple = ()) -> D
     return sets.withColumn("n", F.size("tokens")).where(F.col("n") > 0)
 
 
-def token_frequencies(sets: DataFrame) -> DataFrame:
-    """``tok, df``: number of sets that hold the token."""
-    return (sets.select(explode_values("tokens", "tok"))
-            .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+def _cell(token: Column) -> Column:
+    return F.pmod(F.hash(token), F.lit(CELLS))
+
+
+def cell_ranks(sets: DataFrame) -> DataFrame:
+    """One row with ``ranks``: for each of ``CELLS`` hash cells of tokens how frequent it is, a byte each.
+
+    Of a cell whose tokens are held by ``df`` sets (added up) the rank is
+    ``log2(df)`` in steps of a quarter, rounded up; no pair shares a token of
+    rank 0.  The table's size is fixed, whatever the vocabulary.
+    """
+    counts = (sets.select(explode_values(F.transform("tokens", _cell), "cell"))
+              .groupBy("cell").agg(F.count(F.lit(1)).alias("df")))
+    rank = F.coalesce(F.ceil(F.log2("df") * RANK_STEPS - F.lit(EPS)), F.lit(0)).cast("tinyint")
+    every = sets.sparkSession.range(CELLS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("cell", rank.alias("rank"))))["rank"].alias("ranks"))
 
 
 def ordered_tokens(sets: DataFrame) -> DataFrame:
-    """Sets with ``ord``: their tokens as ``struct(df, tok)`` sorted rarest first."""
+    """Sets with ``ord``: their tokens as ``struct(rank, tok)`` sorted rarest first.
+
+    Any order that is the same for all sets will do for the prefix filter.
+    This one goes by the frequency of a token's hash cell, which is at least
+    the token's own: a table of fixed size tells it inside the row, so no token
+    is shuffled to be ordered.
+    """
     keys = [c for c in sets.columns if c not in ("tokens", "n")]
-    exploded = sets.select(*keys, explode_values("tokens", "tok"))
-    return (exploded.join(token_frequencies(sets), "tok")
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("ord")))
+    told = sets.select(*keys, "tokens", cell_ranks(sets).scalar().alias("ranks"))
+    ranked = F.transform("tokens", lambda x: F.struct(F.get("ranks", _cell(x)).alias("rank"), x.alias("tok")))
+    return told.select(*keys, F.sort_array(ranked).alias("ord"))
+
+
+def token_grid(rank: Column, cell_rows: int) -> Column:
+    """Grid side for a token of this rank: that of the largest frequency that has it."""
+    return grid_size(F.pow(F.lit(2.0), rank / F.lit(float(RANK_STEPS))), cell_rows)
 
 
 def min_overlap(n, t: float):
@@ -102,6 +130,24 @@ def size_band(n: Column, t: float) -> Column:
     return F.floor(F.log(n) / F.lit(width)) if width > EPS else n.cast("bigint")
 
 
+def parity_bits(number: Column, words: int) -> list[Column]:
+    """Aggregates ``p0, p1, ...`` of 64 bits each (``words`` a power of 2): a bit is the parity of the numbers that fall on it."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)))
+    word, none = F.shiftright(number, 6).bitwiseAND(F.lit(max(words, 1) - 1)), F.lit(0).cast("bigint")
+    return [F.bit_xor(F.when(word == w, bit).otherwise(none)).alias(f"p{w}") for w in range(words)]
+
+
+def parity_ok(words: int, t: float) -> Column:
+    """Whether rows ``a_*`` and ``b_*`` (``n`` and parity words) can have a Jaccard of ``t`` or more; exact, never too strict.
+
+    Each token of one side alone turns one bit, so at least as many tokens are
+    unshared as bits differ: ``|A n B| <= (|A| + |B| - bits) / 2``.
+    """
+    bits = sum((F.bit_count(F.col(f"a_p{w}").bitwiseXOR(F.col(f"b_p{w}"))) for w in range(words)), F.lit(0))
+    total = F.col("a_n") + F.col("b_n")
+    return (total - bits) / 2 >= total * F.lit(t / (1 + t)) - F.lit(EPS)
+
+
 def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = DEFAULT_CELL_ROWS,
                     max_len_diff: float | None = None) -> DataFrame:
     """Distinct ``(a_sid, b_sid)`` sharing enough prefix tokens, a being the smaller set (or the shorter one).
@@ -120,6 +166,9 @@ def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = D
     |B| - j' - 1)``.  Pairs whose bound is below ``t / (1 + t) * (|A| + |B|)``
     cannot reach ``J >= t`` and are dropped before verification.
 
+    At a high ``t`` each prefix row carries its set's parity bits (see
+    ``parity_ok``): most sets that meet under some token are told apart there.
+
     ``max_len_diff`` needs sets that carry ``length``; the join key then holds
     the narrower of size and length bands, and the other filter is checked on
     each pair that meets.
@@ -128,11 +177,15 @@ def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = D
     own = ["sid", "g_lo", "g_hi"] + (["length"] if max_len_diff is not None else [])
     by_length = max_len_diff is not None and 1 - max_len_diff > t
     band, by = (log_length_band("length", max_len_diff), "length") if by_length else (size_band(n, t), "n")
+    words = PARITY_WORDS if t >= PARITY_FROM else 0
+    if words:
+        tokens = ordered.select("sid", explode_values(F.transform("ord", lambda x: F.hash(x["tok"])), "h"))
+        ordered = ordered.join(tokens.groupBy("sid").agg(*parity_bits(F.col("h"), words)), "sid")
+        own += [f"p{w}" for w in range(words)]
     pre = (ordered.select(*own, n.alias("n"), band.alias("_band"),
                           F.posexplode(F.slice("ord", 1, prefix_length(n, t, m).cast("int"))).alias("pos", "p"))
-           .where(F.col("p.df") > 1)
-           .select(*own, "n", "_band", "pos", F.col("p.tok").alias("_key"),
-                   grid_size(F.col("p.df"), cell_rows).alias("_grid")))
+           .where(F.col("p.rank") > 0)
+           .select(*own, "n", "_band", "pos", F.col("p.tok").alias("_key"), token_grid(F.col("p.rank"), cell_rows).alias("_grid")))
     keys = ["_key", "_band"]
     a = prefixed(pre, "a_", [*keys, "_grid"])
     b = pre.withColumn("_band", F.explode(F.array(F.col("_band"), F.col("_band") - 1)))
@@ -144,7 +197,7 @@ def candidate_pairs(ordered: DataFrame, t: float, m: int = 3, cell_rows: int = D
     sizes = F.col("a_n") >= F.col("b_n") * F.lit(t) - F.lit(EPS)
     if by_length:
         sizes = sizes & (F.col("b_n") >= F.col("a_n") * F.lit(t) - F.lit(EPS))
-    cond = smaller & groups & sizes
+    cond = smaller & groups & sizes & parity_ok(words, t) if words else smaller & groups & sizes
     if max_len_diff is not None:
         cond = cond & length_ratio_ok("a_length", "b_length", max_len_diff)
     pairs = (j.where(cond).groupBy("a_sid", "b_sid")
