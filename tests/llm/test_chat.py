@@ -69,3 +69,10 @@ def test_words_beside_calls_are_a_line_before_them(spark):
     assert next(r.json for r in got if r.sub == -1) == '{"content":"let me add","kind":"message","role":"assistant"}'
     assert [(r.sub, r.kind) for r in got if r.conv_id == 2] == [(0, "call"), (0, "result")]
     assert [(r.sub, r.kind) for r in got if r.conv_id == 3] == [(0, "call"), (1, "call"), (0, "result")]
+
+
+def test_white_space_before_json(spark):
+    """JSON white space before a call or a result is no part of a message."""
+    rows = [(1, 0, "assistant", "\n\t \r" + call("a", {"x": 1})), (1, 1, "tool", "\t\n" + result("a"))]
+    got = run(spark, rows)
+    assert [(r.kind, r.status) for r in got] == [("call", "valid"), ("result", "ok")] and got[1].linked_turn == 0
