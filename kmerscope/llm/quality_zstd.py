@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +66,7 @@ class _Sizes:
             self.by.append(zstandard.ZstdCompressor(dict_data=d, **frame))
         self.plain = zstandard.ZstdCompressor(**(frame | {"level": 1}))
 
-    def __call__(self, text: bytes) -> tuple[int, int, int, int]:
+    def __call__(self, text: bytes | memoryview) -> tuple[int, int, int, int]:
         good, bad = self.by
         a = b = 0
         for i in range(0, len(text), SEGMENT):
@@ -128,17 +128,19 @@ def scorer(spark: SparkSession, model: CompressionModel):
     # Bounded by dictionary_bytes.  Plain data: a broadcast is unpickled where the package may not be on the path.
     shared = spark.sparkContext.broadcast(([(j.good, j.bad, j.mean, j.scale, j.weights) for j in model.judges], model.prior))
 
-    @F.pandas_udf("double")
-    def score_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         plain, prior = shared.value
         judges = [(Judge(*j), _Sizes(j[0], j[1])) for j in plain]
-        for batch in batches:
+        for texts in batches:
+            # Views into the batch: no text is copied to a Python string.
+            batch = [memoryview(t.as_buffer() or b"") for t in texts.cast(pa.large_binary())]
             p = np.zeros(len(batch)) if judges else np.full(len(batch), prior)
             for j, sizes in judges:
-                s = np.array([sizes((t or "").encode()) for t in batch]).reshape(-1, 4)
+                s = np.array([sizes(t) for t in batch]).reshape(-1, 4)
                 z = (_inputs(s) - j.mean) / j.scale @ j.weights
                 p += 1 / (1 + np.exp(-np.clip(z, -30, 30))) / len(judges)
-            yield pd.Series(np.where([not t for t in batch], 0.0, p), dtype="float64")
+            yield pa.array(np.where([not len(t) for t in batch], 0.0, p), pa.float64())
 
     return score_texts
 
