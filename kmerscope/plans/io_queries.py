@@ -7,6 +7,8 @@ on real layouts; the oracles compute the expected rows straight from the table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,12 @@ from ..operators.sampling import sample_exact_n, sample_per_dataset
 from ..session import scratch_path
 from ..sources.fasta import read_fasta, write_fasta
 from ..sources.sequences import latest_batch, read_datasets
-from ..sources.sinks import write_samples
+from ..sources.sinks import committed_runs, output_layout, read_run, write_results, write_run, write_samples
 from .tables import documents
 
 SAMPLE_N = 100
 PER_DATASET_N = 10
+TOP = 10
 SEED = 42
 BATCHES = ("20240101_000000", "20240102_000000")
 
@@ -57,7 +60,28 @@ def q_latest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.select("batch_ts", "dataset", "doc_id")
 
 
+def q_committed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run written, committed and read back beside one that was given up half-way."""
+    root, (ts, later) = scratch_path(spark, "runs"), BATCHES
+    sizes = documents(spark, sf_dir).select("doc_id", "source", F.length("text").alias("length"))
+    longest = sizes.orderBy(F.desc("length"), "doc_id").limit(TOP)
+    write_run(sizes, longest, ["doc_id", "length"], {"documents": sizes.select("doc_id")}, root, ts, "lengths")
+    write_results(sizes.limit(1), output_layout(root, later, "lengths")["results"])  # and nothing more
+    parts = []
+    for run in committed_runs(spark, root).orderBy("ts", "method").collect():  # the two of this query
+        back = read_run(spark, root, run["ts"], run["method"])
+        per = back["results"].groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("length").alias("total")).select(
+            F.lit("results").alias("part"), F.col("source").alias("name"), "n_rows", "total")
+        top = back["top"].select(F.lit("top").alias("part"), F.col("doc_id").alias("name"), F.lit(1).cast("long").alias("n_rows"),
+                                 F.col("length").cast("long").alias("total"))
+        inputs = back["documents"].agg(F.lit("inputs").alias("part"), F.lit(run["ts"]).alias("name"),
+                                       F.count(F.lit(1)).alias("n_rows"), F.sum("doc_id").alias("total"))
+        parts += [per, top, inputs]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
+    "committed_run": q_committed_run,
     "sample_exact_n": q_sample_exact_n,
     "sample_per_dataset": q_sample_per_dataset,
     "fasta_roundtrip": q_fasta_roundtrip,
@@ -71,6 +95,9 @@ _PER = f"""SELECT * EXCLUDE (rn) FROM (
 WHERE rn <= {PER_DATASET_N}"""
 
 ORACLES = {
+    "committed_run": f"""SELECT 'results' AS part, source AS name, count(*) AS n_rows, sum(length(text))::BIGINT AS total FROM documents GROUP BY source
+UNION ALL SELECT * FROM (SELECT 'top', doc_id::VARCHAR, 1::BIGINT, length(text)::BIGINT FROM documents ORDER BY length(text) DESC, doc_id LIMIT {TOP})
+UNION ALL SELECT 'inputs', '{BATCHES[0]}', count(*), sum(doc_id)::BIGINT FROM documents""",
     "sample_exact_n": f"SELECT * FROM documents ORDER BY {_KEY}, doc_id LIMIT {SAMPLE_N}",
     "sample_per_dataset": _PER,
     "fasta_roundtrip": """SELECT doc_id::VARCHAR AS name, source AS description, length(text)::INTEGER AS length, md5(text) AS text_md5

@@ -14,7 +14,7 @@ from ..operators import runlogs as R
 from ..operators.lsh import minhash_join
 from ..operators.sampling import random_limit, sample_per_dataset
 from ..operators.threshold import threshold_join
-from ..operators.topk import top_k_pairs
+from ..operators.topk import ANY, top_k_pairs
 from ..sources import sinks
 from ..sources.fasta import read_fasta
 from ..sources.runlogs import read_log_files, read_log_lines
@@ -45,42 +45,41 @@ def exact_job(spark: SparkSession, left_path: str, right_path: str, out_root: st
     """Exact k-mer Jaccard between two sequence datasets.
 
     ``results`` are all pairs of similarity ``threshold`` (0.5) or more, within
-    the length filter if asked for.  The top ``top_n`` is always exact.  ``limit_n`` is the reference's ``--limit-100`` (seeded).
+    the length filter if asked for; a threshold of 0 means all pairs that share
+    a k-mer.  The top ``top_n`` is always exact.  ``limit_n`` is the
+    reference's ``--limit-100`` (seeded).  What is saved counts once committed
+    (see ``sinks``).
     """
     left, right = read_sequences(spark, left_path), read_sequences(spark, right_path)
     if limit_n:
         left, right = random_limit(left, limit_n, seed), random_limit(right, limit_n, seed)
     items = C.with_tokens(C.two_sides(left, right))
-    out: dict[str, DataFrame] = {}
-    if length_filter:
-        out["results"] = threshold_join(items, threshold or DEFAULT_THRESHOLD, strict=False, max_len_diff=max_len_diff)
-        out["top"] = top_k_pairs(items, top_n, max_len_diff=max_len_diff)
-    else:
-        out["results"] = threshold_join(items, threshold or DEFAULT_THRESHOLD, strict=False)
-        out["top"] = top_k_pairs(items, top_n)
+    t = DEFAULT_THRESHOLD if threshold is None else threshold or ANY
+    diff = max_len_diff if length_filter else None
+    out = {"results": threshold_join(items, t, strict=False, max_len_diff=diff), "top": top_k_pairs(items, top_n, max_len_diff=diff)}
     if save and out_root:
-        layout = sinks.output_layout(out_root, sinks.run_timestamp(run_ts), "jaccard")
-        sinks.write_results(out["results"], layout["results"])
-        sinks.write_top_csv(out["top"], layout["top"], ["left_id", "right_id", "jaccard"])
-        sinks.snapshot_inputs({"left_sample": left, "right_sample": right}, layout["inputs"])
+        sinks.write_run(out["results"], out["top"], ["left_id", "right_id", "jaccard"], {"left_sample": left, "right_sample": right},
+                        out_root, sinks.run_timestamp(run_ts), "jaccard")
     return out
 
 
 def minhash_job(spark: SparkSession, left_path: str, right_path: str, out_root: str | None = None,
                 run_ts: str | None = None, save: bool = True, length_filter: bool = False,
                 max_len_diff: float = 0.1, max_dist: float = 0.1, num_bands: int = 12, rows_per_band: int = 1,
-                bucket_width: int = 100, neighbours: int = 0, top_n: int = 10) -> dict[str, DataFrame]:
-    """MinHash LSH join per length bucket, optional length filter, top ``top_n``."""
+                bucket_width: int = 100, neighbours: int = 1, top_n: int = 10) -> dict[str, DataFrame]:
+    """MinHash LSH join per length bucket, optional length filter, top ``top_n``.
+
+    Adjacent buckets meet too (``neighbours``); with 0 the pairs across a
+    bucket's border are missed, as in the reference.
+    """
     left, right = read_sequences(spark, left_path), read_sequences(spark, right_path)
     items = C.with_tokens(C.two_sides(left, right))
     res = minhash_join(items, max_dist, num_bands, rows_per_band, bucket_width, neighbours,
                        max_len_diff if length_filter else None)
     top = res.orderBy(F.desc("minhash_similarity"), "left_id", "right_id").limit(top_n)
     if save and out_root:
-        layout = sinks.output_layout(out_root, sinks.run_timestamp(run_ts), "minhash")
-        sinks.write_results(res, layout["results"])
-        sinks.write_top_csv(top, layout["top"], ["left_id", "right_id", "minhash_similarity"])
-        sinks.snapshot_inputs({"left_sample": left, "right_sample": right}, layout["inputs"])
+        sinks.write_run(res, top, ["left_id", "right_id", "minhash_similarity"], {"left_sample": left, "right_sample": right},
+                        out_root, sinks.run_timestamp(run_ts), "minhash")
     return {"results": res, "top": top}
 
 

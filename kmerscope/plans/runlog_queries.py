@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import runlogs as R
+from ..session import scratch_path
+from ..sources.runlogs import read_log_lines
 from .tables import table
 
 # The reference's core sweep and the methods (event types) pivoted.
@@ -130,7 +132,18 @@ def _lines(spark, sf_dir):
     return render_batch_lines(_events(spark, sf_dir))
 
 
+def _lines_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch logs as text files, one for each user, found by name and read by splits."""
+    lines = _lines(spark, sf_dir).withColumn("log", F.regexp_extract("path", r"([^/]+)\.out$", 1))
+    root = scratch_path(spark, "logs")
+    dealt = lines.repartition("log").sortWithinPartitions("log", "line_no")
+    dealt.select("log", F.col("line").alias("value")).write.partitionBy("log").text(root)
+    return read_log_lines(spark, root, "*.txt", recursive=True)
+
+
 QUERIES = {
+    "run_config_files": lambda spark, sf: R.run_config(_lines_from_files(spark, sf)),
+    "failed_runs_files": lambda spark, sf: R.failed_runs(_lines_from_files(spark, sf)),
     "run_timing": lambda spark, sf: _timing(spark, sf),
     "run_timing_rejects": lambda spark, sf: R.run_timing_rejects(render_run_files(_events(spark, sf))).select(
         "filename", "reject_reason"),
@@ -184,6 +197,8 @@ FROM (VALUES ('a'), ('b')) AS f(folder), (
 
 
 ORACLES = {
+    "run_config_files": _CONFIG,
+    "failed_runs_files": _FAILED,
     "run_timing": _TIMING,
     "run_timing_rejects": f"""SELECT method || '_benchmark_' || cores || 'cores.out' AS filename,
   CASE WHEN event_id % 50 = 7 THEN 'malformed real/user/sys time' ELSE 'missing real/user/sys time' END AS reject_reason

@@ -3,8 +3,12 @@
 import os
 import tempfile
 
+import pytest
+
 from kmerscope.plans import jobs
-from tests.test_pairs import _fixture
+from kmerscope.sources import sinks
+from kmerscope.sources.runlogs import read_log_lines
+from tests.test_pairs import _fixture, _kset
 
 
 def _write_sets(spark, root):
@@ -32,6 +36,51 @@ def test_exact_and_minhash_jobs(spark):
     assert cmp.n_both <= min(cmp.n_exact, cmp.n_lsh)
 
 
+def test_only_committed_runs_are_read(spark, monkeypatch):
+    root = tempfile.mkdtemp()
+    left, right = _write_sets(spark, root)
+    out, ts = os.path.join(root, "out"), "20240101_000000"
+    assert sinks.committed_runs(spark, out).count() == 0
+
+    def lost(*_):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "snapshot_inputs", lost)
+        with pytest.raises(RuntimeError):
+            jobs.exact_job(spark, left, right, out, run_ts=ts)
+    with pytest.raises(FileNotFoundError):
+        sinks.read_run(spark, out, ts, "jaccard")
+    res = jobs.exact_job(spark, left, right, out, run_ts=ts)
+    back = sinks.read_run(spark, out, ts, "jaccard")
+    assert sorted(map(tuple, back["results"].collect())) == sorted(map(tuple, res["results"].collect()))
+    assert back["top"].count() == 10 and back["left_sample"].count() == spark.read.parquet(left).count()
+    with pytest.raises(FileExistsError):
+        jobs.exact_job(spark, left, right, out, run_ts=ts)
+
+
+def test_threshold_of_zero_is_every_shared_kmer(spark):
+    left, right = _write_sets(spark, tempfile.mkdtemp())
+    got = jobs.exact_job(spark, left, right, save=False, threshold=0)["results"].collect()
+    sides = [[_kset(r.sequence) for r in spark.read.parquet(p).collect()] for p in (left, right)]
+    assert len(got) == sum(bool(a & b) for a in sides[0] for b in sides[1])
+
+
+def test_log_files_of_several_splits(spark):
+    """Lines read by small splits are numbered in the order of their file."""
+    d = tempfile.mkdtemp()
+    lines = [f"line {i} é" for i in range(500)]
+    with open(os.path.join(d, "a.out"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 4
+        assert [r.line for r in read_log_lines(spark, d, "*.out").orderBy("line_no").collect()] == lines
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_sampling_and_fasta_jobs(spark):
     root = tempfile.mkdtemp()
     _write_sets(spark, os.path.join(root, "input"))
