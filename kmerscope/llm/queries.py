@@ -133,17 +133,13 @@ t AS (
          ('0x' || substr(md5('mix' || CASE WHEN source IS NULL THEN '-' ELSE '+' || source END), 1, 5))::BIGINT AS start
   FROM f, l),
 r AS (
-  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, t.start,
-         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 1.0::DOUBLE END AS expected,
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 1.0::DOUBLE END AS expected, t.start / 1048576.0::DOUBLE AS u,
          row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.ord, d.doc_id) AS rnk
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-o AS (SELECT r.*, draw, ((start + draw * 32768) % 1048576) / 1048576.0::DOUBLE AS u FROM r, range(32) AS x(draw)),
-c AS (SELECT *, least(floor(rnk * expected + u) - floor((rnk - 1) * expected + u), 3) AS copies FROM o),
-best AS (
-  SELECT source, arg_min(draw, (missed, draw)) AS draw FROM (
-    SELECT source, draw, abs(sum(size * copies) - any_value(target)) AS missed FROM c GROUP BY source, draw) GROUP BY source)
-SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken
-FROM c JOIN best ON c.source IS NOT DISTINCT FROM best.source AND c.draw = best.draw"""
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (size * least(floor(rnk * expected + u) - floor((rnk - 1) * expected + u), 3))::BIGINT AS taken
+FROM r"""
 
 _OP10 = rf"""
 WITH d AS (
