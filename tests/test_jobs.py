@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from kmerscope.plans import jobs
 from kmerscope.sources import sinks
@@ -28,6 +29,8 @@ def test_exact_and_minhash_jobs(spark):
     assert len(top) == 10 and top == sorted(top, key=lambda r: (-r.jaccard, r.left_id, r.right_id))
     assert all(r.jaccard > 0.5 for r in res["results"].collect())
     assert os.path.isdir(os.path.join(out, "20240101_000000", "jaccard", "top.csv"))
+    back = sinks.read_run(spark, out, "20240101_000000", "jaccard")
+    assert back["results"].count() == res["results"].count() and back["left_sample"].count() == spark.read.parquet(left).count()
     lf = jobs.exact_job(spark, left, right, save=False, length_filter=True)["results"]
     assert lf.count() > 0
     mh = jobs.minhash_job(spark, left, right, save=False, length_filter=True)
@@ -37,9 +40,9 @@ def test_exact_and_minhash_jobs(spark):
 
 
 def test_only_committed_runs_are_read(spark, monkeypatch):
-    root = tempfile.mkdtemp()
-    left, right = _write_sets(spark, root)
-    out, ts = os.path.join(root, "out"), "20240101_000000"
+    out, ts = os.path.join(tempfile.mkdtemp(), "out"), "20240101_000000"
+    results = spark.range(20).withColumn("score", F.col("id") / 20)
+    run = (results, results.limit(3), ["id", "score"], {"left": spark.range(5), "right": spark.range(7)}, out, ts, "exact")
     assert sinks.committed_runs(spark, out).count() == 0
 
     def lost(*_):
@@ -48,15 +51,16 @@ def test_only_committed_runs_are_read(spark, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(sinks, "snapshot_inputs", lost)
         with pytest.raises(RuntimeError):
-            jobs.exact_job(spark, left, right, out, run_ts=ts)
+            sinks.write_run(*run)
     with pytest.raises(FileNotFoundError):
-        sinks.read_run(spark, out, ts, "jaccard")
-    res = jobs.exact_job(spark, left, right, out, run_ts=ts)
-    back = sinks.read_run(spark, out, ts, "jaccard")
-    assert sorted(map(tuple, back["results"].collect())) == sorted(map(tuple, res["results"].collect()))
-    assert back["top"].count() == 10 and back["left_sample"].count() == spark.read.parquet(left).count()
+        sinks.read_run(spark, out, ts, "exact")
+    sinks.write_run(*run)
+    back = sinks.read_run(spark, out, ts, "exact")
+    assert sorted(map(tuple, back["results"].collect())) == sorted(map(tuple, results.collect()))
+    assert [back[k].count() for k in ("top", "left", "right")] == [3, 5, 7]
     with pytest.raises(FileExistsError):
-        jobs.exact_job(spark, left, right, out, run_ts=ts)
+        sinks.write_run(*run)
+    assert [(r.ts, r.method, r.inputs) for r in sinks.committed_runs(spark, out).collect()] == [(ts, "exact", ["left", "right"])]
 
 
 def test_threshold_of_zero_is_every_shared_kmer(spark):
