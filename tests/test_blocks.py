@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from kmerscope.functions.hashing import MINHASH_PRIME, minhash_coefficients
 from kmerscope.operators import collection as C
 from kmerscope.operators.blocks import dealt, screened_pairs
+from kmerscope.operators.lsh import signatures
 from kmerscope.operators.threshold import prepare, set_pairs, threshold_join
 
 
@@ -74,3 +75,13 @@ def test_unlike_sets_of_one_hash_do_not_leave_the_task(spark):
     assert {(r.jaccard > 0.9) for r in set_pairs(sets, 0.9).collect()} == {True}
     one_band = screened_pairs(sets, F.lit(0), 0.9, 0, 12, 1, minhash_coefficients(12), MINHASH_PRIME).count()
     assert 1 <= one_band <= 3
+
+
+def test_signatures_of_empty_and_repeated_rows(spark):
+    rows = [("a", [5, 9, 2]), ("b", []), ("a", [1]), ("c", None), ("d", list(range(2000)))]
+    df = spark.createDataFrame(rows, "sid string, features array<int>")
+    got = {r.sid: r.signature for r in signatures(df, 4, keys=("sid",)).collect()}
+    sets = {"a": [5, 9, 2, 1], "d": range(2000)}
+    assert got == {k: [min(((f + 1) * a + b) % MINHASH_PRIME for f in v) for a, b in minhash_coefficients(4)] for k, v in sets.items()}
+    plan = signatures(df, 4, keys=("sid",))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan  # no row for each token
