@@ -7,13 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from kmerscope.operators import collection as C
+from kmerscope.operators import topk
 from kmerscope.operators.counted import met_among, met_sides, packed_items, units
 from kmerscope.operators.links import linked_rows
 from kmerscope.operators.lsh import lsh_links, lsh_sided_join, lsh_threshold_join
 from kmerscope.operators.nearest import nearest_matches, searched_pairs
 from kmerscope.operators.threshold import set_pairs, prepare, sided_pairs, threshold_join
-from kmerscope.operators.topk import best_matches
-from tests.test_pairs import _fixture, _items, _j, _kset
+from kmerscope.operators.topk import best_matches, top_k_pairs
+from tests.test_pairs import _fixture, _items, _j, _key, _kset
 from tests.test_whole_results import _copies, _order, _scored
 
 
@@ -118,3 +119,21 @@ def test_two_sides_by_minhash(spark):
     items = C.with_tokens(C.two_sides(left, right))
     got = Counter(tuple(r) for r in lsh_sided_join(items, 0.3).collect())
     assert got and got == Counter(tuple(r) for r in lsh_threshold_join(items, 0.3).collect())
+
+
+def test_equal_sets_suffice_for_the_top(spark, monkeypatch):
+    """With k pairs of equal sets nothing is joined; two sides are met once."""
+    rows = _copies()
+    trace = []
+    items = _items(spark, rows)
+    got = top_k_pairs(items, 5, trace=trace).collect()
+    best = sorted((-j, rows[a][1], rows[b][1]) for (a, b), j in _scored(rows).items())[:5]
+    assert trace == [1.0] and [(-r.jaccard, r.left_id, r.right_id) for r in got] == best
+
+    monkeypatch.setattr(topk, "set_pairs", None)
+    left = spark.createDataFrame([(i, s) for d, i, s in rows if d == "d0"], "name long, sequence string")
+    right = spark.createDataFrame([(i, s) for d, i, s in rows if d == "d1"], "name long, sequence string")
+    sided = top_k_pairs(C.with_tokens(C.two_sides(left, right)), 9, sided=True).collect()
+    best = sorted((-_j(_kset(a), _kset(b)), i, j) for d, i, a in rows if d == "d0" for e, j, b in rows if e == "d1")[:9]
+    assert [(-r.jaccard, r.left_id, r.right_id) for r in sided] == best
+    assert _key(sided[0])[0::2] == ("left", "right")
