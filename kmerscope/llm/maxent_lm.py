@@ -10,10 +10,14 @@ times that of the token within its class:
   own.  P(class | history) is a softmax over weights of hashed features: the
   word before, the pair before, the words two and three back (skips), and the
   classes of the two before.
-* P(token | class) is its training count, less a discount, over the class's
-  training tokens; the discounts' sum is the probability of an unknown word.
-
-Weights are trained by distributed gradient updates.  The training texts are
+* P(token | class, history): the words of a class stand in a tree of LEVELS levels,
+  four bits of a word's hash choosing one of a node's 16 parts.  The parts of a node
+  are a softmax, its reference the parts' training tokens, over weights of hashed
+  features: the node with the word before, and with the classes of the two before.
+  Words in one leaf share its probability by their training counts.  An unknown word
+  has the probability of the class's discounts.
+
+Both kinds of weights are trained by distributed gradient updates.  The training texts are
 dealt into rounds, each text in one.  In a round every task starts from the last
 round's weights, takes gradient steps (Adagrad) over its texts, and sends what
 changed; a feature's changes are averaged, weighted by how often each task saw
@@ -22,11 +26,14 @@ exchanged between chunks of texts and ranges of token hashes, never gathered.
 
 Defined results: null and empty texts are one token, the end; with no training
 texts all weights are 0 and every word is unknown; repeated rows score alike.
+With no levels, P(token | class) is its training count, less the discount, over the
+class's training tokens, whatever came before.
 Tokens are told apart by 59 bits of a hash and their class.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import quoted
-from .exchange import bucket_of, chunked
+from .exchange import bucket_of, chunked, corpus_bytes
 from .texthash import SPACE, Texts, Words, mix, words
 
 CLASSES = 16
@@ -45,9 +52,14 @@ KINDS = 1024
 PARTS = 16
 ROWS = 1 << 15
 TEMPLATES = 5
+LEVELS = 3
+WORD_ROWS = 1 << 16
+WORD_PARTS = 32
+WORD_TEMPLATES = (0, 4)  # of a token's histories
 BATCH = 4096
 DISCOUNT = 0.75
 SLICE_BYTES = 1 << 20
+TASK_BYTES = 32 << 20  # each task of a round sends its weights' changes
 _END = np.uint64(0x5851F42D4C957F20)  # its low bits, the class, are 0
 _BEFORE = np.uint64(0x14057B7EF767814F)
 _K = np.random.default_rng(6).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -115,37 +127,67 @@ def _clustered(near: np.ndarray, dimensions: int = 8, rounds: int = 30) -> np.nd
     return own + 1
 
 
-def learn_classes(texts: DataFrame) -> np.ndarray:
-    """The class of each kind, from how kinds stand together in all of ``text``.
+def _counted(texts: DataFrame, of, size: int) -> np.ndarray:
+    """The sum of ``of`` (Texts to ``size`` counts) over all of ``text``.
 
     Tasks send their counts in PARTS rows; what comes to the driver is one
-    table of KINDS x KINDS, whatever the corpus.
+    table of ``size``, whatever the corpus.
     """
-    schema = "part int, near binary"
+    schema = "part int, counts binary"
 
     def count(batches):
-        out = np.zeros(KINDS * KINDS, np.int64)
+        out = np.zeros(size, np.int64)
         for batch in batches:
             for part in _slices(batch):
-                out += _near(Texts.of(part["text"]))
-        rows = [{"part": k, "near": zstandard.compress(x.tobytes(), 1)} for k, x in enumerate(np.split(out, PARTS)) if x.any()]
+                out += of(Texts.of(part["text"]))
+        rows = [{"part": k, "counts": zstandard.compress(x.tobytes(), 1)} for k, x in enumerate(np.split(out, PARTS)) if x.any()]
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("near", pa.binary())]))
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("counts", pa.binary())]))
 
     def add(table: pa.Table) -> pa.Table:
         total = 0
-        for x in table["near"]:
+        for x in table["counts"]:
             total = total + np.frombuffer(zstandard.decompress(x.as_py()), np.int64)
-        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "near": [zstandard.compress(total.tobytes(), 1)]})
+        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()), "counts": [zstandard.compress(total.tobytes(), 1)]})
 
-    near = np.zeros((PARTS, KINDS * KINDS // PARTS), np.int64)
+    counts = np.zeros((PARTS, size // PARTS), np.int64)
     for r in texts.mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect():
-        near[r["part"]] = np.frombuffer(zstandard.decompress(r["near"]), np.int64)
-    return _clustered(near.reshape(KINDS, KINDS))
+        counts[r["part"]] = np.frombuffer(zstandard.decompress(r["counts"]), np.int64)
+    return counts.ravel()
 
 
-def _features(t: _Tokens) -> np.ndarray:
-    """Weight rows of each token's features, TEMPLATES of them."""
+def learn_classes(texts: DataFrame) -> np.ndarray:
+    """The class of each kind, from how kinds stand together in all of ``text``."""
+    return _clustered(_counted(texts, _near, KINDS * KINDS).reshape(KINDS, KINDS))
+
+
+def count_leaves(texts: DataFrame, classes: np.ndarray, levels: int = LEVELS) -> np.ndarray:
+    """How many tokens of ``text`` each leaf of each class's tree has."""
+    size = CLASSES << 4 * levels
+
+    def leaves(part: Texts) -> np.ndarray:
+        return np.bincount(_node(_tokens(part, classes).keys, levels), minlength=size)
+
+    return _counted(texts, leaves, size)
+
+
+def _node(keys: np.ndarray, level: int) -> np.ndarray:
+    """The node that each token passes at a level of its class's tree (0: the root)."""
+    own = (keys & np.uint64(31)).astype(np.int64) << 4 * level
+    return own | (keys >> np.uint64(64 - 4 * level)).astype(np.int64) if level else own
+
+
+def _references(leaves: np.ndarray, levels: int) -> list[np.ndarray]:
+    """For each level, the logarithms of the tokens in each node's 16 parts (-1e4 for none)."""
+    out = []
+    for level in range(levels):
+        parts = leaves.reshape(CLASSES << 4 * level, 16, -1).sum(axis=2)
+        out.append(np.where(parts > 0, np.log(np.maximum(parts, 1)), -1e4).astype(np.float32))
+    return out
+
+
+def _histories(t: _Tokens) -> list[np.ndarray]:
+    """Hashes of what stands before each token, TEMPLATES of them; their high bits are spread."""
     first = t.offsets[:-1]
 
     def back(x: np.ndarray) -> np.ndarray:
@@ -158,14 +200,29 @@ def _features(t: _Tokens) -> np.ndarray:
     two = back(one)
     three = back(two)
     low = np.uint64(31)
-    shift = np.uint64(64 - 15)
-    return np.stack([
-        one * _K[0] >> shift, (one * _K[1] + two * _K[2]) >> shift, two * _K[3] >> shift, three * _K[4] >> shift,
-        ((one & low) * _K[5] + (two & low) * _K[6]) >> shift]).astype(np.uint16)
+    return [one * _K[0], one * _K[1] + two * _K[2], two * _K[3], three * _K[4], (one & low) * _K[5] + (two & low) * _K[6]]
+
+
+def _features(histories: list[np.ndarray]) -> np.ndarray:
+    """Weight rows of each token's features, TEMPLATES of them."""
+    return np.stack([h >> np.uint64(64 - 15) for h in histories]).astype(np.uint16)
+
+
+def _choices(t: _Tokens, histories: list[np.ndarray], references: list[np.ndarray], known: np.ndarray | None = None):
+    """For each level of the words' trees: which tokens have a choice there, its node, the part taken and the features' weight rows."""
+    for level, reference in enumerate(references):
+        node = _node(t.keys, level)
+        several = (reference > -1e4).sum(axis=1) > 1
+        at = np.flatnonzero(several[node] if known is None else several[node] & known)
+        node = node[at]
+        part = (t.keys[at] >> np.uint64(60 - 4 * level) & np.uint64(15)).astype(np.int64)
+        own = (node | level << 24).astype(np.uint64) * _K[7]
+        rows = np.stack([h[at] + own >> np.uint64(64 - 16) for h in (histories[k] for k in WORD_TEMPLATES)]).astype(np.uint16)
+        yield at, node, part, rows, reference
 
 
 def _log_classes(rows: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Natural logarithm of each class's probability, for each token."""
+    """Natural logarithm of each class's (or part's) probability, for each token; ``bias``: for all tokens or for each."""
     z = np.take(weights, rows[0], axis=0)
     z += bias
     for r in rows[1:]:
@@ -184,10 +241,11 @@ class _Trainer:
         self.square = np.full(len(weights), 1.0, np.float32)
         self.seen = np.zeros(len(weights), np.float64)
 
-    def learn(self, rows: np.ndarray, classes: np.ndarray) -> None:
+    def learn(self, rows: np.ndarray, classes: np.ndarray, node: np.ndarray | None = None, reference: np.ndarray | None = None) -> None:
+        """Steps towards ``classes``; with a ``reference`` for each node in place of the biases."""
         for a in range(0, rows.shape[1], BATCH):
             r, y = rows[:, a:a + BATCH], classes[a:a + BATCH]
-            g = np.exp(_log_classes(r, self.w[-1], self.w))
+            g = np.exp(_log_classes(r, self.w[-1] if reference is None else np.take(reference, node[a:a + BATCH], axis=0), self.w))
             g[np.arange(len(y)), y] -= 1
             flat = r.ravel()
             order = np.argsort(flat, kind="stable")
@@ -200,7 +258,8 @@ class _Trainer:
                 again = np.take(g, each[np.repeat(many, count)], axis=0)
                 total[many] = np.add.reduceat(again, np.cumsum(count[many]) - count[many], axis=0)
             self._step(by[cut].astype(np.int64), total, count)
-            self._step(np.array([len(self.w) - 1]), g.sum(axis=0, keepdims=True), np.array([len(y)]))
+            if reference is None:
+                self._step(np.array([len(self.w) - 1]), g.sum(axis=0, keepdims=True), np.array([len(y)]))
 
     def _step(self, at: np.ndarray, total: np.ndarray, count: np.ndarray) -> None:
         g = total / np.sqrt(count)[:, None].astype(np.float32)
@@ -221,58 +280,91 @@ def _slices(batch: pa.RecordBatch):
         at = min(end, batch.num_rows)
 
 
-def _sent(w: np.ndarray, seen: np.ndarray):
-    """Weights' changes, times how often each was seen, in PARTS rows of bytes."""
-    for k, (d, n) in enumerate(zip(np.array_split(w, PARTS), np.array_split(seen, PARTS), strict=True)):
+def _sent(trainer: _Trainer, parts: int, first: int = 0):
+    """Weights' changes, as half floats, and how often each was seen, in ``parts`` rows of bytes."""
+    change = np.clip(trainer.w - trainer.start, -6e4, 6e4).astype(np.float16)
+    for k, (d, n) in enumerate(zip(np.array_split(change, parts), np.array_split(trainer.seen, parts), strict=True)):
         if n.any():
-            yield {"part": k, "change": d.astype(np.float32).tobytes(), "seen": n.tobytes()}
+            yield {"part": first + k, "change": d.tobytes(), "seen": n.astype(np.float32).tobytes()}
+
+
+def _move(weights: np.ndarray, parts: int, changes: dict, first: int = 0) -> None:
+    """Add the mean changes of one round to the weights."""
+    for k, at in enumerate(np.array_split(np.arange(len(weights)), parts)):
+        if first + k in changes:
+            change, seen = changes[first + k]
+            seen = np.frombuffer(seen, np.float64)
+            weights[at] += np.frombuffer(change, np.float32).reshape(-1, CLASSES) / np.maximum(seen, 1)[:, None].astype(np.float32)
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    """One part's changes and counts, added up over the tasks."""
+    """One part's changes, weighted by how often each task saw the row, and the counts, added up over the tasks."""
     change = seen = 0
     for c, n in zip(table["change"], table["seen"], strict=True):
-        change = change + np.frombuffer(c.as_py(), np.float32).astype(np.float64)
-        seen = seen + np.frombuffer(n.as_py(), np.float64)
+        n = np.frombuffer(n.as_py(), np.float32).astype(np.float64)
+        change = change + np.frombuffer(c.as_py(), np.float16).reshape(len(n), -1) * n[:, None]
+        seen = seen + n
     return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()),
                      "change": [change.astype(np.float32).tobytes()], "seen": [seen.tobytes()]})
 
 
+@dataclass
+class Model:
+    """``classes`` of the kinds; ``weights``: ROWS of features and a last one of biases, each over CLASSES; ``leaves``:
+    training tokens in each leaf of the classes' trees; ``word_weights``: WORD_ROWS of features over a node's 16 parts."""
+    classes: np.ndarray
+    weights: np.ndarray
+    leaves: np.ndarray
+    word_weights: np.ndarray
+
+
 def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4,
           rate: float = 0.3) -> tuple[np.ndarray, np.ndarray]:
-    """The kinds' classes, and the weights: ROWS of features and a last one of biases, each over CLASSES.
+    """The kinds' classes and the weights of the softmax over classes alone."""
+    model = train_words(docs, learn, id_col, text_col, rounds, rate, levels=0)
+    return model.classes, model.weights
+
+
+def train_words(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4,
+                rate: float = 0.3, levels: int = LEVELS) -> Model:
+    """The whole model: the softmax over classes and those within them.
 
     What comes to the driver each round is one set of weights, whatever the corpus.
     """
     spark = docs.sparkSession
     weights = np.zeros((ROWS + 1, CLASSES), np.float32)
+    word_weights = np.zeros((WORD_ROWS if levels else 0, 16), np.float32)
     texts = docs.where(learn).select(quoted(text_col).alias("text"),
                                      F.pmod(F.xxhash64(quoted(id_col), F.lit(3)), F.lit(rounds)).alias("round"))
+    texts = texts.coalesce(max(1, math.ceil(corpus_bytes(texts, "text") / TASK_BYTES)))
     classes = learn_classes(texts.select("text"))
+    leaves = count_leaves(texts.select("text"), classes, levels) if levels else np.zeros(CLASSES, np.int64)
+    references = spark.sparkContext.broadcast(_references(leaves, levels))
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
+        shared = spark.sparkContext.broadcast((weights, word_weights))
 
         def run(batches, shared=shared, rate=rate):
-            trainer = _Trainer(shared.value, rate)
+            trainer, within = (_Trainer(w, rate) for w in shared.value)
             for batch in batches:
                 for part in _slices(batch):
                     t = _tokens(Texts.of(part["text"]), classes)
-                    trainer.learn(_features(t), t.classes)
-            change = (trainer.w - trainer.start) * trainer.seen[:, None]
-            rows = list(_sent(change, trainer.seen))
+                    histories = _histories(t)
+                    trainer.learn(_features(histories), t.classes)
+                    for _, node, taken, rows, reference in _choices(t, histories, references.value):
+                        within.learn(rows, taken, node, reference)
+            rows = [*_sent(trainer, PARTS), *_sent(within, WORD_PARTS, PARTS)]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("part", pa.int32()), ("change", pa.binary()), ("seen", pa.binary())]))
 
         schema = "part int, change binary, seen binary"
         parts = (texts.where(F.col("round") == k).select("text").mapInArrow(run, schema)
                  .groupBy("part").applyInArrow(_summed, schema).collect())
-        cuts = np.array_split(np.arange(ROWS + 1), PARTS)
-        for p in parts:
-            seen = np.frombuffer(p["seen"], np.float64)
-            change = np.frombuffer(p["change"], np.float32).reshape(-1, CLASSES)
-            weights[cuts[p["part"]]] += change / np.maximum(seen, 1)[:, None].astype(np.float32)
+        changes = {p["part"]: (p["change"], p["seen"]) for p in parts}
+        _move(weights, PARTS, changes)
+        _move(word_weights, WORD_PARTS, changes, PARTS)
         shared.unpersist()
-    return classes, weights
+    references.unpersist()
+    return Model(classes, weights, leaves, word_weights)
 
 
 _COUNTS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -318,14 +410,22 @@ def _told(unique: np.ndarray, n_buckets: int, answers: pa.Table) -> np.ndarray:
     return out
 
 
-def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4) -> DataFrame:
+def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 4,
+          levels: int = 0) -> DataFrame:
     """``id_col, n_tokens, n_known, train_tokens, base_score, score`` for every row, whole texts.
 
     ``base_score``: the sum over tokens of log10((c + 1) / (N + V + 1)) with
     the training texts' counts; ``score``: the model's log10 probability.
+    ``levels``: of the trees of words within classes (LEVELS is the whole
+    model; 0 leaves the words of a class to their counts).
     """
-    classes, weights = train(docs, learn, id_col, text_col, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    if levels:
+        learned = train_words(docs, learn, id_col, text_col, rounds, levels=levels)
+    else:
+        learned = Model(*train(docs, learn, id_col, text_col, rounds), np.zeros(CLASSES, np.int64), np.zeros((0, 16), np.float32))
+    classes = learned.classes
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (learned.weights, learned.word_weights, learned.leaves, _references(learned.leaves, levels)))
     flagged = docs.select(quoted(id_col), quoted(text_col), learn.alias("_learn"))
     chunks = chunked(flagged, id_col, text_col, [id_col, "_learn"])
     n_buckets = chunks.buckets(1 / 25)
@@ -355,17 +455,26 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         unique, back = np.unique(t.keys, return_inverse=True)
         count = _told(unique, n_buckets, told.filter(pc.greater_equal(told["bucket"], 0)))[back]
         base = np.log10((count + 1) / (n + v + 1))
-        # Within its class: the count less a discount, or the discounts' sum; a class without training tokens is all unknown.
+        # Within its class: unknown words have the discounts' sum, or all of a class without training tokens.
         own = t.classes
+        known = (count > 0) & (own > 0)
         of_class = np.maximum(total[own], 1)
         unknown = np.where(total[own] > 0, DISCOUNT * types[own] / of_class, 1.0)
-        within = np.where(own == 0, 1.0, np.where(count > 0, (count - DISCOUNT) / of_class, unknown))
-        model = np.log10(within)
-        w = shared.value
-        rows = _features(t) if len(own) else np.zeros((TEMPLATES, 0), np.uint16)
+        w, word_w, leaves, references = shared.value
+        if levels:  # the known ones the rest: the words of a leaf by their counts, the leaves by the parts taken
+            within = (1 - unknown) * count / np.maximum(leaves[_node(t.keys, levels)], 1)
+        else:
+            within = (count - DISCOUNT) / of_class
+        model = np.log10(np.where(own == 0, 1.0, np.where(known, within, unknown)))
+        histories = _histories(t) if len(own) else [t.keys] * TEMPLATES
+        rows = _features(histories)
         for a in range(0, len(own), BATCH):
             z = _log_classes(rows[:, a:a + BATCH], w[-1], w)
             model[a:a + BATCH] += z[np.arange(len(z)), own[a:a + BATCH]] / np.log(10)
+        for at, node, taken, rows, reference in _choices(t, histories, references, known):
+            for a in range(0, len(at), BATCH):
+                z = _log_classes(rows[:, a:a + BATCH], np.take(reference, node[a:a + BATCH], axis=0), word_w)
+                model[at[a:a + BATCH]] += z[np.arange(len(z)), taken[a:a + BATCH]] / np.log(10)
         first = t.offsets[:-1]
 
         def each(x: np.ndarray) -> np.ndarray:
