@@ -1,5 +1,6 @@
 """Sets packed as they are read off the texts: the same sets, joins and similarities as from token arrays."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -9,9 +10,11 @@ from kmerscope.functions.hashing import feature_set
 from kmerscope.operators import blocks
 from kmerscope.operators import collection as C
 from kmerscope.operators.blocks import opened_sets
-from kmerscope.operators.counted import packed, scored
+from kmerscope.operators.counted import packed
 from kmerscope.operators.lsh import minhash_join
 from kmerscope.operators.threshold import packed_sets, prepare, set_pair_table, set_pairs, threshold_join
+from tests.test_blocks import _brute, _texts
+from tests.test_blocks import _items as _int_items
 from tests.test_counted import _copies
 from tests.test_pairs import _fixture, _items, _j, _kset
 
@@ -65,14 +68,33 @@ def test_pairs_of_packed_sets_are_those_of_tokens(spark, t):
     assert one and Counter(r.jaccard for r in set_pairs(packed_sets(items)[1], t).collect()) == one
 
 
-def test_scores_of_packed_pairs(spark):
-    texts = [s for _, _, s in _fixture(20)] + ["", "abc"]
-    items = _items(spark, [("d", i, s) for i, s in enumerate(texts)])
-    sets = packed(items, ["id"]).select(F.col("id").cast("string").alias("sid"), "packed")
-    pairs = sets.select(F.col("sid").alias("a_sid"), F.col("packed").alias("a_packed")).crossJoin(
-        sets.select(F.col("sid").alias("b_sid"), F.col("packed").alias("b_packed")))
-    got = {(int(r.a_sid), int(r.b_sid)): r.jaccard for r in scored(pairs).collect()}
-    assert got == {(a, b): _j(_kset(x), _kset(y)) for a, x in enumerate(texts) for b, y in enumerate(texts)}
+def test_no_pair_is_sent_on_to_be_verified(spark):
+    """200 near copies: sets go to their cells twice, some 20,000 pairs leave the tasks with their scores."""
+    rows = [(f"d{i % 5}", i, "the words that all of these rows share, whatever else they hold " * 2 + f"{i:03}") for i in range(200)]
+    members, sets = packed_sets(_items(spark, rows))
+    df = set_pairs(sets, 0.7)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "a_packed" not in plan and "a_tokens" not in plan
+    texts = {i: _kset(s) for _, i, s in rows}
+    expected = sorted(_j(texts[i], texts[j]) for i in texts for j in texts if i < j and i % 5 != j % 5)
+    assert sorted(r.jaccard for r in df.collect()) == [x for x in expected if x > 0.7] and expected[0] > 0.7
+
+
+@pytest.mark.parametrize("tile, rows, narrow", [(8, 4, 7), (1 << 14, 16, 0), (64, 1, 7)])
+def test_tiles_lose_no_pair(spark, monkeypatch, tile, rows, narrow):
+    for name, value in (("TILE", tile), ("TILE_ROWS", rows), ("NARROW", narrow), ("OPENED", 3)):
+        monkeypatch.setattr(blocks, name, value)
+    texts = _texts(120, 9, 5)
+    for t, diff in ((0.75, None), (0.9, 0.05)):
+        got = {(r.left_id, r.right_id, r.jaccard) for r in threshold_join(_int_items(spark, texts), t, max_len_diff=diff).collect()}
+        assert got == _brute(texts, t, diff) and got
+
+
+def test_long_sets_differ_in_more_bits_than_a_byte_counts(spark):
+    rng = random.Random(6)
+    base = [chr(0x4E00 + i) for i in rng.sample(range(20000), 6000)]
+    rows = [("d0", 1, "".join(base)), ("d1", 2, "".join(base[:5600])), ("d1", 3, "".join(base[::-1])), ("d1", 4, "".join(base[:5300]) + "x" * 700)]
+    assert {(r.left_id, r.right_id, r.jaccard) for r in threshold_join(_int_items(spark, rows), 0.8).collect()} == _brute(rows, 0.8)
 
 
 def test_a_batch_is_sketched_in_slices(spark, monkeypatch):
